@@ -3,9 +3,9 @@ where the operator is expressible in SQL."""
 
 from __future__ import annotations
 
-from . import protection
+from . import governance, protection
 
-_MODULES = [protection]
+_MODULES = [protection, governance]
 
 
 def all_queries() -> dict:
