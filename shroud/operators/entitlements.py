@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.metadata import EVERYONE
+from .tags import latest
 
 
 def allowed_raw(entitlements: DataFrame, principal: str) -> Column:
@@ -62,14 +63,14 @@ def current_entitlements(log: DataFrame) -> DataFrame:
     ins = log.where(F.col("op") == "INSERT").select(
         "principal", F.col("seq").alias("ins_seq"), "scope", "can_view_raw")
 
-    def latest(op: str, col: str) -> DataFrame:
-        # max_by is a partial aggregate: a principal with a third of all events is
-        # pre-combined on each map task, not gathered in one.
+    def last_set(op: str, col: str) -> DataFrame:
+        # a partial aggregate: a principal with a third of all events is pre-combined
+        # on each map task, not gathered in one
         return (log.where(F.col("op") == op).groupBy("principal")
-                .agg(F.max("seq").alias(f"{op}_seq"), F.max_by(col, "seq").alias(f"{op}_val")))
+                .agg(F.max("seq").alias(f"{op}_seq"), latest(col).alias(f"{op}_val")))
 
-    out = (ins.join(latest("SET_SCOPE", "scope"), "principal", "left")
-              .join(latest("SET_RAW", "can_view_raw"), "principal", "left"))
+    out = (ins.join(last_set("SET_SCOPE", "scope"), "principal", "left")
+              .join(last_set("SET_RAW", "can_view_raw"), "principal", "left"))
     return out.select(
         "principal",
         F.when(F.col("SET_SCOPE_seq") > F.col("ins_seq"), F.col("SET_SCOPE_val"))

@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 from .joins import bounded_broadcast
 
 
+def latest(value: str, seq: str = "seq"):
+    """The value of the row with the highest seq; equal seqs are broken by the larger
+    value, so the result never depends on row order. max over a struct is a partial
+    aggregate: a hot key is pre-combined on every map task, never gathered whole."""
+    return F.max(F.struct(F.col(seq).alias("s"), F.col(value).alias("v")))["v"]
+
+
 def current_column_tags(column_tags: DataFrame) -> DataFrame:
-    """The last value set per (table, column, key). A partial aggregate: a hot key is
-    pre-combined on every map task, never gathered whole."""
+    """The last value set per (table, column, key)."""
     return (column_tags.groupBy("table_id", "column_name", "key")
-            .agg(F.max_by("value", "seq").alias("value")))
+            .agg(latest("value").alias("value")))
 
 
 def current_table_tags(table_tags: DataFrame) -> DataFrame:
     """The last value per (table, key)."""
-    return table_tags.groupBy("table_id", "key").agg(F.max_by("value", "seq").alias("value"))
+    return table_tags.groupBy("table_id", "key").agg(latest("value").alias("value"))
 
 
 def tag_violations(current_tags: DataFrame, vocab: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@ where the operator is expressible in SQL."""
 
 from __future__ import annotations
 
-from . import governance, protection
+from . import governance, privileges, protection
 
-_MODULES = [protection, governance]
+_MODULES = [protection, governance, privileges]
 
 
 def all_queries() -> dict:

@@ -247,9 +247,10 @@ SQL_CTES["principals"] = "SELECT * FROM (VALUES ('eve'), ('root'), ('ana')) AS v
 SQL_CTES["paths"] = """SELECT t.id AS table_id, s.id AS schema_id, c.id AS catalog_id, c.parent_id AS metastore_id
   FROM securables t LEFT JOIN securables s ON t.parent_id = s.id AND s.kind = 'schema'
   LEFT JOIN securables c ON s.parent_id = c.id AND c.kind = 'catalog' WHERE t.kind = 'table'"""
-SQL_CTES["cur_tags"] = ("SELECT table_id, column_name, key, arg_max(value, seq) AS value FROM column_tags "
+SQL_CTES["cur_tags"] = ("SELECT table_id, column_name, key, max({'s': seq, 'v': value}).v AS value FROM column_tags "
                         "GROUP BY table_id, column_name, key")
-SQL_CTES["cur_ttags"] = "SELECT table_id, key, arg_max(value, seq) AS value FROM table_tags GROUP BY table_id, key"
+SQL_CTES["cur_ttags"] = ("SELECT table_id, key, max({'s': seq, 'v': value}).v AS value FROM table_tags "
+                         "GROUP BY table_id, key")
 
 _ORDER = ["cats", "schs", "stabs", "securables", "litabs", "column_tags", "table_tags", "manual", "vocab",
           "policies", "grants", "members", "principals", "paths", "cur_tags", "cur_ttags"]
