@@ -3,9 +3,9 @@ where the operator is expressible in SQL."""
 
 from __future__ import annotations
 
-from . import governance, privileges, protection
+from . import classification, governance, privileges, protection
 
-_MODULES = [protection, governance, privileges]
+_MODULES = [protection, governance, privileges, classification]
 
 
 def all_queries() -> dict:

@@ -43,6 +43,7 @@ def values_sql(rows: Sequence[Sequence], cols: Sequence[str], types: Sequence[st
 #   bo   ALL, never raw          cy  ALL, raw
 #   dee  one scope, flag NULL (= not raw), the row twice
 #   zed  no row at all
+#   ops  two event types (stream), never raw
 ENT_ROWS = [
     ("ana", "BUILDING", True),
     ("ana", "MACHINERY", False),
@@ -50,6 +51,8 @@ ENT_ROWS = [
     ("cy", "ALL", True),
     ("dee", "HOUSEHOLD", None),
     ("dee", "HOUSEHOLD", None),
+    ("ops", "click", False),
+    ("ops", "error", False),
 ]
 ENT_COLS = ("principal", "scope", "can_view_raw")
 ENT_TYPES = ("VARCHAR", "VARCHAR", "BOOLEAN")

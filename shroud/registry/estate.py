@@ -26,6 +26,7 @@ VOCAB_ROWS = [
     ("sensitivity", "high"), ("sensitivity", "low"),
     ("class", "email_address"), ("class", "us_ssn"), ("class", "phone_number"),
     ("class", "credit_card"), ("class", "ip_address"), ("class", "person_name"),
+    ("secret", "token"),
 ]
 
 E = md.EVERYONE
@@ -40,6 +41,8 @@ POLICY_ROWS = [
     ("main_segment_rows", "schema", "main.tpch", md.FILTER, "scope_filter", [E], ["gov_admins"], None, None,
      "rls", "segment"),
     ("main_ssn_redact", "schema", "main.tpch", md.MASK, "redact", [E], ["gov_admins"], None, None, "pii", "ssn"),
+    ("class_email_main", "schema", "main.tpch", md.MASK, "email_partial", [E], [], None, None, "class",
+     "email_address"),
 ]
 POLICY_COLS = [f.name for f in md.POLICIES.fields]
 POLICY_TYPES = ["VARCHAR"] * 5 + ["VARCHAR[]", "VARCHAR[]"] + ["VARCHAR"] * 4

@@ -13,7 +13,7 @@ from ..plans.protect import Reader
 from ..sources import metadata as md
 from ..sources.tables import literal, read_table
 from . import estate as es
-from .common import entitlements, memberships
+from .common import ENTS_SQL, entitlements, memberships
 from .protection import EMAIL_RE, email_addresses
 
 GRP_SQL = """SELECT member AS reader, group_name FROM members
@@ -237,9 +237,7 @@ def q_policy_filter_apply(spark, sf):
     return _policy_customer(spark, sf, "ana")
 
 
-_ENTS = """(SELECT * FROM (VALUES ('ana','BUILDING',true), ('ana','MACHINERY',false), ('bo','ALL',false),
-     ('cy','ALL',true), ('dee','HOUSEHOLD',NULL), ('dee','HOUSEHOLD',NULL)) AS v(principal, scope, can_view_raw)
-   UNION ALL SELECT c_name, c_mktsegment, c_acctbal > 0 FROM customer)"""
+_ENTS = f"({ENTS_SQL})"
 
 SQL_POLICY_FILTER_APPLY = f"""
 WITH ents AS {_ENTS}

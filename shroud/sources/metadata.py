@@ -42,8 +42,8 @@ CLASSIFIERS = T.StructType([_f("name", S), _f("kind", S), _f("pattern", S), _f("
                             _f("tag_value", S), _f("min_share", T.DoubleType())])
 LINEAGE_EDGES = T.StructType([_f("src_table", S), _f("src_column", S), _f("dst_table", S),
                               _f("dst_column", S)])
-DECISIONS = T.StructType([_f("table_id", S), _f("column_name", S), _f("tag_key", S),
-                          _f("decision", S), _f("tag_value", S)])
+DECISIONS = T.StructType([_f("table_id", S), _f("column_name", S), _f("tag_key", S), _f("tag_value", S),
+                          _f("decision", S), _f("adjusted", S)])
 
 # Fixed names with a meaning of their own.
 EVERYONE = "all_users"          # the built-in group that holds every principal
