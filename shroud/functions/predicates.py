@@ -12,8 +12,20 @@ from ..sources.metadata import ALL_SCOPE
 
 def scope_predicate(value: Column, scopes: Column) -> Column:
     """keep a row iff the reader's scope set holds the row's value, or holds ALL.
-    A NULL value is visible only through ALL (NULL OR true)."""
-    return F.array_contains(scopes, value) | F.array_contains(scopes, F.lit(ALL_SCOPE))
+    A NULL value is visible only through ALL (NULL OR true). ``scopes`` is referenced
+    once, so a subquery behind it runs once."""
+    # arrays_overlap is NULL (not true) when the only shared element would be NULL
+    return F.arrays_overlap(scopes, F.array(value, F.lit(ALL_SCOPE)))
+
+
+def scope_literal_predicate(value: Column, scopes: list[str]) -> Column | None:
+    """F1 with a resolved scope set: None when the set holds ALL (no filter at all),
+    else a literal IN list, which the parquet reader can use to skip row groups."""
+    if ALL_SCOPE in scopes:
+        return None
+    if not scopes:
+        return F.lit(False)
+    return value.isin(*scopes)
 
 
 def group_predicate(value: Column, groups: Column, prefix: str,

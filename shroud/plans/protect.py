@@ -1,9 +1,11 @@
 """protect(): apply the row filters and column masks that hold for one reader (M6, F4, F6),
 plus the two materialised forms, a protected view (V1) and a protected export (V2).
 
-Plan shape: one Filter whose predicate holds uncorrelated scalar subqueries, then one
-Project. Both are narrow: the protected scan adds no exchange, keeps parquet column pruning
-(a column that is not selected is not read, masked or not), and stays in whole-stage codegen.
+Plan shape: one Filter, then one Project, both narrow: the protected scan adds no
+exchange, keeps parquet column pruning (a column that is not selected is not read, masked
+or not) and stays in whole-stage codegen. With a snapshot reader the filter is a literal
+IN list (pushed to the parquet reader) and an entitled reader's masks fold away; with a
+live reader both hold one uncorrelated scalar subquery each.
 """
 
 from __future__ import annotations
@@ -16,34 +18,87 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import masks as M
-from ..functions.predicates import group_predicate, scope_predicate
+from ..functions.predicates import group_predicate, scope_literal_predicate, scope_predicate
 from ..operators import entitlements as E
 from ..sources.metadata import ALL_SCOPE, FILTER, MASK
 
 
 class Reader:
-    """Who reads. Every operator takes an explicit principal; the entitlement and membership
-    relations are read when the protected DataFrame runs (entitlements) or is built
-    (group membership, a snapshot)."""
+    """Who reads. Every operator takes an explicit principal.
+
+    snapshot=True (default): the reader's entitlements are resolved when the protected
+    DataFrame is built, by one small job whose size is checked first. Masks of an entitled
+    reader then fold away, and the scope filter is a literal IN list that reaches the
+    parquet reader. Build a protected DataFrame per read (as protect_table does).
+
+    snapshot=False: entitlements stay uncorrelated scalar subqueries inside the plan, run
+    when the DataFrame runs; a long-held DataFrame or a view sees appended entitlement
+    rows. Group membership is always resolved at build time (a snapshot, as a platform
+    caching memberships would).
+    """
 
     def __init__(self, principal: str, entitlements: DataFrame | None = None,
-                 memberships: DataFrame | None = None, max_scope_literal: int = 10_000):
+                 memberships: DataFrame | None = None, max_scope_literal: int = 10_000,
+                 snapshot: bool = True):
         self.principal = principal
         self.entitlements = entitlements
         self.memberships = memberships
         self.max_scope_literal = max_scope_literal
+        self.snapshot = snapshot
         self._groups: list[str] | None = None
+        self._raw_col: Column | None = None
+        self._scopes_col: Column | None = None
+        self._stats: tuple[int, bool] | None = None
+        self._scope_list: list[str] | None = None
+
+    def live(self) -> "Reader":
+        r = Reader(self.principal, self.entitlements, self.memberships, self.max_scope_literal, snapshot=False)
+        r._groups = self._groups
+        return r
 
     def _need_ent(self) -> DataFrame:
         if self.entitlements is None:
             raise ValueError("this control needs an entitlements relation")
         return self.entitlements
 
+    def _resolve(self) -> None:
+        """One job: the reader's distinct (scope, raw) pairs, at most max_scope_literal + 1
+        of them reach the driver. Beyond the bound the scopes stay distributed and the raw
+        flag comes from an aggregate."""
+        mine = self._need_ent().where(F.col("principal") == F.lit(self.principal))
+        cap = 2 * self.max_scope_literal + 2   # a scope appears with at most two flags
+        pairs = mine.select("scope", "can_view_raw").distinct().limit(cap + 1).collect()
+        scopes = sorted({r[0] for r in pairs if r[0] is not None})
+        if len(pairs) <= cap and len(scopes) <= self.max_scope_literal:
+            self._stats = (len(scopes), any(bool(r[1]) for r in pairs))
+            self._scope_list = scopes
+        else:
+            raw = mine.agg(F.coalesce(F.bool_or("can_view_raw"), F.lit(False))).first()[0]
+            self._stats = (self.max_scope_literal + 1, bool(raw))
+
+    def stats(self) -> tuple[int, bool]:
+        """(number of distinct scopes, capped; raw allowed) for this reader."""
+        if self._stats is None:
+            self._resolve()
+        return self._stats
+
+    def scope_list(self) -> list[str] | None:
+        """The resolved scope set, or None when it is larger than max_scope_literal."""
+        if self._stats is None:
+            self._resolve()
+        return self._scope_list
+
     def allowed_raw(self) -> Column:
-        return E.allowed_raw(self._need_ent(), self.principal)
+        if self.snapshot:
+            return F.lit(self.stats()[1])
+        if self._raw_col is None:
+            self._raw_col = E.allowed_raw(self._need_ent(), self.principal)
+        return self._raw_col
 
     def scopes(self) -> Column:
-        return E.scopes(self._need_ent(), self.principal)
+        if self._scopes_col is None:
+            self._scopes_col = E.scopes(self._need_ent(), self.principal)
+        return self._scopes_col
 
     def groups(self) -> list[str]:
         if self._groups is None:
@@ -73,15 +128,22 @@ def predicate_filter(pred: Callable[[Reader, list[Column]], Column]) -> FilterFn
 def scope_filter(reader: Reader, df: DataFrame, cols: list[str]) -> DataFrame:
     """F1 on the first argument column.
 
-    Normal form: ``array_contains(<scalar subquery>, col) OR array_contains(.., 'ALL')``
-    inside one Filter. The scope set is one reader's rows, but its size is still checked;
-    beyond ``max_scope_literal`` scopes the set stays distributed and is applied as an
-    equi semi join (shuffle or broadcast chosen by AQE from real sizes). That form is
-    documented as weaker: Spark may push a user predicate below a join.
+    Snapshot reader: ``col IN (<scopes>)`` (no filter when the set holds ALL). Live
+    reader: ``arrays_overlap(<scalar subquery>, array(col, 'ALL'))``. Either way one
+    Filter that Spark merges ahead of a user's predicate, so a hidden row never reaches
+    user code. The scope set is one reader's rows, but its size is still checked; beyond
+    ``max_scope_literal`` scopes the set stays distributed and is applied as an equi semi
+    join (shuffle or broadcast chosen by AQE from real sizes). That form is documented as
+    weaker: Spark may push a user predicate below a join.
     """
     ent = reader._need_ent()
     value = df[cols[0]]
-    if E.scope_count(ent, reader.principal) <= reader.max_scope_literal:
+    if reader.snapshot:
+        scopes = reader.scope_list()
+        if scopes is not None:
+            pred = scope_literal_predicate(value, scopes)
+            return df if pred is None else df.filter(pred)
+    elif E.scope_count(ent, reader.principal) <= reader.max_scope_literal:
         return df.filter(scope_predicate(value, reader.scopes()))
     mine = ent.where(F.col("principal") == F.lit(reader.principal))
     if mine.where(F.col("scope") == ALL_SCOPE).limit(1).count() > 0:
@@ -198,9 +260,10 @@ def protect(df: DataFrame, controls: Iterable, reader: Reader,
 
 def protected_view(name: str, df: DataFrame, controls: Iterable, reader: Reader,
                    functions: Functions | None = None) -> DataFrame:
-    """V1: register what the reader may see under a view name. The view wraps a fresh
-    plan; re-register it after the underlying files are overwritten."""
-    out = protect(df, controls, reader, functions)
+    """V1: register what the reader may see under a view name. A view outlives one read,
+    so its entitlements stay live subqueries; re-register it after the underlying files
+    are overwritten."""
+    out = protect(df, controls, reader.live(), functions)
     out.createOrReplaceTempView(name)
     return out
 

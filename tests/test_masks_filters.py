@@ -1,5 +1,7 @@
 """Masks, row filters and protect() on the literal fixtures (FIXTURES.md section 2)."""
 
+import uuid
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ CONTROLS = [
 ]
 
 
-def run(people, ents, who, controls=CONTROLS):
-    rows = protect(people, controls, Reader(who, ents)).orderBy("id").collect()
+def run(people, ents, who, controls=CONTROLS, snapshot=True):
+    rows = protect(people, controls, Reader(who, ents, snapshot=snapshot)).orderBy("id").collect()
     return rows
 
 
@@ -32,10 +34,11 @@ EXPECTED = {
 }
 
 
+@pytest.mark.parametrize("snapshot", [True, False])
 @pytest.mark.parametrize("who", sorted(EXPECTED))
-def test_reader_table(people, ents, who):
+def test_reader_table(people, ents, who, snapshot):
     ids, raw = EXPECTED[who]
-    rows = run(people, ents, who)
+    rows = run(people, ents, who, snapshot=snapshot)
     assert [r.id for r in rows] == ids
     raw_rows = {r.id: r for r in people.collect()}
     for r in rows:
@@ -62,7 +65,8 @@ def test_email_mask_edges(spark, value, expected):
     assert df.select(mask_email(F.col("m")).alias("m")).first().m == expected
 
 
-def test_truth_table_appendix(spark):
+@pytest.mark.parametrize("snapshot", [True, False])
+def test_truth_table_appendix(spark, snapshot):
     """M1, M2 and F1 for one reader, row by row (SURVEY Appendix A)."""
     data = spark.createDataFrame([(1, "A", "s", 7), (2, None, "s", 7)], "id int, v string, t string, n int")
     cases = [
@@ -76,21 +80,23 @@ def test_truth_table_appendix(spark):
     for rows, m1, m2, visible, label in cases:
         ents = spark.createDataFrame(rows, md.ENTITLEMENTS)
         ctl = [Control(md.MASK, "id_mask", ("t",)), Control(md.MASK, "null_mask", ("n",))]
-        masked = protect(data, ctl, Reader("r", ents)).orderBy("id").collect()
+        masked = protect(data, ctl, Reader("r", ents, snapshot=snapshot)).orderBy("id").collect()
         assert all((x.t == "s") == (m1 == "raw") for x in masked), label
         assert all(x.n == m2 for x in masked), label
-        filt = protect(data, [Control(md.FILTER, "scope_filter", ("v",))], Reader("r", ents))
+        filt = protect(data, [Control(md.FILTER, "scope_filter", ("v",))], Reader("r", ents, snapshot=snapshot))
         assert sorted(x.id for x in filt.collect()) == visible, label
 
 
-def test_error_channel(people, ents):
+@pytest.mark.parametrize("snapshot", [True, False])
+def test_error_channel(people, ents, snapshot):
     """A hidden row must not raise: p_north cannot see id 4 (pay = 20)."""
-    out = protect(people, [Control(md.FILTER, "scope_filter", ("area",))], Reader("p_north", ents))
+    out = protect(people, [Control(md.FILTER, "scope_filter", ("area",))], Reader("p_north", ents, snapshot=snapshot))
     got = out.where(F.lit(100) / (F.col("pay") - 20) > -999).select("id").collect()
     assert [r.id for r in got] == [1]
 
 
-def test_error_channel_udf(people, ents):
+@pytest.mark.parametrize("snapshot", [True, False])
+def test_error_channel_udf(people, ents, snapshot):
     """A user Python UDF that fails on a hidden value stays silent."""
     from pyspark.sql.functions import udf
 
@@ -100,7 +106,7 @@ def test_error_channel_udf(people, ents):
             raise ValueError("saw a hidden row")
         return True
 
-    out = protect(people, [Control(md.FILTER, "scope_filter", ("area",))], Reader("p_north", ents))
+    out = protect(people, [Control(md.FILTER, "scope_filter", ("area",))], Reader("p_north", ents, snapshot=snapshot))
     # id 2 (NULL pay) is visible and passes; id 4 (pay = 20) is hidden and never reaches the UDF
     assert sorted(r.id for r in out.where(picky(F.col("pay"))).select("id").collect()) == [1, 2]
 
@@ -113,6 +119,27 @@ def test_predicate_on_masked_column(people, ents):
     assert out.agg(F.sum("pay")).first()[0] is None
 
 
+def test_live_reader_sees_appended_rows(spark, people, scratch):
+    """A live reader's DataFrame, built once, sees an entitlement appended afterwards."""
+    name = f"ents_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([("late", "NORTH", False)], md.ENTITLEMENTS).write.option(
+        "path", f"{scratch}/{name}").saveAsTable(name)
+    out = protect(people, CONTROLS, Reader("late", spark.table(name), snapshot=False))
+    assert out.count() == 2
+    spark.sql(f"INSERT INTO {name} VALUES ('late', 'SOUTH', true)")
+    rows = out.orderBy("id").collect()
+    assert [r.id for r in rows] == [1, 2, 3, 4] and rows[0].taxno == "101-11-1001"
+
+
+def test_snapshot_filter_pushed_down(spark, people, ents, scratch):
+    path = f"{scratch}/people"
+    people.write.parquet(path)
+    out = protect(spark.read.parquet(path), CONTROLS, Reader("p_north", ents))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(area, [NORTH])" in plan or "EqualTo(area,NORTH)" in plan
+    assert "Subquery" not in plan
+
+
 def test_live_entitlement(spark, people):
     ents_path = spark.createDataFrame([("late", "NORTH", False)], md.ENTITLEMENTS)
     base = spark.createDataFrame([("late", "NORTH", False)], md.ENTITLEMENTS)
