@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 256
+COLLAPSE_EVERY = 8
 
 
 def audit_summary(access_log: DataFrame, current_tags: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,19 +32,24 @@ def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
 
     ``edges`` (src_table, src_column, dst_table, dst_column); ``seed`` (table_id,
     column_name, key, value). Semi-naive: each round joins only the facts found in the
-    previous round, drops the known ones, and checkpoints into the shared checkpoint
-    folder. Cycles end because a fact is never found twice."""
+    previous round (the delta) with the edges and drops the facts already known. Each
+    delta is checkpointed into the shared checkpoint folder, so a round writes only what
+    it found; the known set is the union of the checkpointed deltas, collapsed into one
+    checkpoint every COLLAPSE_EVERY rounds to keep the plan narrow. Cycles end because a
+    fact is never found twice."""
     cols = ["table_id", "column_name", "key", "value"]
-    e = edges.select("src_table", "src_column", "dst_table", "dst_column").distinct()
+    e = edges.select("src_table", "src_column", "dst_table", "dst_column").distinct().checkpoint(eager=True)
     known = seed.select(*cols).distinct().checkpoint(eager=True)
     delta = known
-    for _ in range(MAX_ROUNDS):
+    for i in range(1, MAX_ROUNDS + 1):
         step = (delta.join(e, (delta.table_id == e.src_table) & (delta.column_name == e.src_column))
                 .select(F.col("dst_table").alias("table_id"), F.col("dst_column").alias("column_name"),
                         "key", "value").distinct())
         new = step.join(known, cols, "left_anti").checkpoint(eager=True)
         if new.isEmpty():
             break
-        known = known.unionByName(new).checkpoint(eager=True)
+        known = known.unionByName(new)
+        if i % COLLAPSE_EVERY == 0:
+            known = known.checkpoint(eager=True)
         delta = new
     return known

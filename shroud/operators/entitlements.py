@@ -93,11 +93,10 @@ def principal_groups(memberships: DataFrame, principal: str, max_groups: int = 1
     frontier = [principal]
     for _ in range(max_depth):
         step = (memberships.where(F.col("member").isin(frontier))
-                .select("group_name").distinct())
-        n = step.count()
-        if n > max_groups:
+                .select("group_name").distinct().limit(max_groups + 1).collect())
+        if len(step) > max_groups:
             raise ValueError(f"{principal} resolves to more than {max_groups} groups")
-        found = {r[0] for r in step.collect() if r[0] is not None}
+        found = {r[0] for r in step if r[0] is not None}
         frontier = sorted(found - seen)
         seen |= found
         if len(seen) > max_groups:

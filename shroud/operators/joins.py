@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+LOCAL_MAX_ROWS = 10_000
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def localize(df: DataFrame, max_rows: int = LOCAL_MAX_ROWS) -> DataFrame:
+    """A control relation (policies, vocabulary) computed once and kept as a local
+    relation when a count proves it small: later joins see its exact size (and broadcast
+    it) instead of re-running its plan in every job. Larger relations are left as they are."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import hierarchy as H
 from ..operators import policies as P
 from ..operators import tags as TG
+from ..operators.joins import localize
 from ..sources.metadata import FILTER
 from .protect import Control, Functions, Reader, default_functions, protect
 
@@ -29,8 +30,17 @@ class Governance:
     manual: DataFrame
     functions: Functions = field(default_factory=default_functions)
 
+    def __post_init__(self):
+        self._valid: DataFrame | None = None
+        self._valid_src: DataFrame | None = None
+
     def valid_policies(self) -> DataFrame:
-        return P.valid_policies(self.policies, self.vocab)
+        """Policies whose conditions are governed, resolved once per policy relation and
+        kept local when small (they are control rows, bounded by a count)."""
+        if self._valid is None or self._valid_src is not self.policies:
+            self._valid = localize(P.valid_policies(localize(self.policies), localize(self.vocab)))
+            self._valid_src = self.policies
+        return self._valid
 
     def targets(self, policies: DataFrame | None = None, table_id: str | None = None) -> DataFrame:
         """Policy targets over the estate, or for one table (the table filter sits on the
@@ -64,8 +74,10 @@ class Governance:
 
     def with_tags(self, rows: DataFrame) -> "Governance":
         """A new table or column tagged later (P9): same policies, more tag rows."""
-        return Governance(self.securables, self.column_tags.unionByName(rows), self.table_tags, self.vocab,
-                          self.policies, self.manual, self.functions)
+        g = Governance(self.securables, self.column_tags.unionByName(rows), self.table_tags, self.vocab,
+                       self.policies, self.manual, self.functions)
+        g._valid, g._valid_src = self._valid, self._valid_src
+        return g
 
 
 __all__ = ["Governance", "FILTER"]
