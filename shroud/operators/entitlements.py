@@ -36,13 +36,13 @@ def scope_count(entitlements: DataFrame, principal: str) -> int:
             .agg(F.count_distinct("scope")).first()[0])
 
 
-def scope_text(entitlements: DataFrame) -> DataFrame:
-    """E2 for every principal: (principal, scopes) with the sorted set joined to text.
-    One hash aggregate with map-side partial collect; a principal with very many rows is
-    combined per partition before the shuffle."""
-    return (entitlements.groupBy("principal")
-            .agg(F.array_join(F.array_sort(F.collect_set("scope")), ",").alias("scopes"),
-                 F.coalesce(F.bool_or("can_view_raw"), F.lit(False)).alias("can_view_raw")))
+def scope_rows(entitlements: DataFrame) -> DataFrame:
+    """E2 for every principal, in long form: (principal, scope, can_view_raw) with one row
+    per distinct scope and the principal's raw flag. No scope set is gathered: a principal
+    with a third of all rows is a distinct plus a join on a key that AQE splits."""
+    raw = entitlements.groupBy("principal").agg(
+        F.coalesce(F.bool_or("can_view_raw"), F.lit(False)).alias("can_view_raw"))
+    return entitlements.select("principal", "scope").distinct().join(raw, "principal")
 
 
 def grant_entitlement(entitlements: DataFrame, principal: str, scope: str | None,

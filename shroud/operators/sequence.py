@@ -1,0 +1,51 @@
+"""Next row in order within a group, without gathering a group into one task.
+
+``lead()`` over a window partitioned by the group key sends a whole group to one task: a
+group holding a third of all rows is then a third of the job in one task. Here the rows
+are range-partitioned on the full sort key instead (a hot group is split over several
+tasks), numbered, and each row is joined to the row numbered after it; the pair is kept
+only when both rows belong to the same group. The join key is a unique row number, so no
+key is hot. The last row of a partition continues in the first row of the next non-empty
+partition; those boundaries come from one small aggregate per partition.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def next_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], carry: Sequence[str],
+                  partitions: int | None = None) -> DataFrame:
+    """For every row, the ``carry`` columns of the next row of the same group in
+    ``order``: returns the ``group`` and ``carry`` columns of the row plus ``next_<c>`` for
+    each carried column; the last row of a group is dropped."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(group) + list(order)
+    cols = list(dict.fromkeys(keys + list(carry)))
+    ranked = (df.select(*cols).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_rid", F.monotonically_increasing_id()))
+    # numbering depends on the physical layout: fix it once in the shared checkpoint folder
+    ranked = ranked.checkpoint(eager=True)
+    bounds = sorted((r["_pid"], r["lo"], r["hi"]) for r in
+                    ranked.groupBy("_pid").agg(F.min("_rid").alias("lo"), F.max("_rid").alias("hi")).collect())
+    # last id of each non-empty partition -> first id of the next non-empty one (<= n entries)
+    jumps = {hi: nxt_lo for (_, _, hi), (_, nxt_lo, _) in zip(bounds, bounds[1:])}
+    nxt = F.col("_rid") + 1
+    if jumps:
+        pairs = [x for k, v in sorted(jumps.items()) for x in (F.lit(k), F.lit(v))]
+        jump = F.element_at(F.create_map(*pairs), F.col("_rid"))
+        nxt = F.coalesce(jump, nxt)
+    a = ranked.withColumn("_next", nxt)
+    b = ranked.select(F.col("_rid").alias("_next"), *[F.col(g).alias(f"_g_{g}") for g in group],
+                      *[F.col(c).alias(f"next_{c}") for c in carry])
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+    cond = same[0]
+    for s in same[1:]:
+        cond = cond & s
+    out = a.join(b, "_next").where(cond)
+    return out.select(*group, *carry, *[f"next_{c}" for c in carry])

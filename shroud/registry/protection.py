@@ -283,13 +283,14 @@ SQL_EXPORT_PROTECTED = SQL_PROTECT_FILTER_AND_MASK
 
 
 def q_entitlement_scopes(spark, sf):
-    return E.scope_text(entitlements(spark, sf))
+    return E.scope_rows(entitlements(spark, sf))
 
 
 SQL_ENTITLEMENT_SCOPES = with_ctes({"ents": ENTS_SQL}, """
-SELECT principal, array_to_string(list_sort(list_distinct(list(scope))), ',') AS scopes,
-       coalesce(bool_or(can_view_raw), false) AS can_view_raw
-FROM ents GROUP BY principal""")
+SELECT s.principal, s.scope, r.can_view_raw
+FROM (SELECT DISTINCT principal, scope FROM ents) AS s
+JOIN (SELECT principal, coalesce(bool_or(can_view_raw), false) AS can_view_raw FROM ents GROUP BY principal) AS r
+  ON r.principal = s.principal""")
 
 
 def q_entitlement_toggle(spark, sf):
