@@ -38,7 +38,11 @@ def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
     checkpoint every COLLAPSE_EVERY rounds to keep the plan narrow. Cycles end because a
     fact is never found twice."""
     cols = ["table_id", "column_name", "key", "value"]
-    e = edges.select("src_table", "src_column", "dst_table", "dst_column").distinct().checkpoint(eager=True)
+    # edges are static: hash-partition them on the join key once; the checkpoint keeps
+    # that partitioning, so each round shuffles only the (shrinking) delta
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = (edges.select("src_table", "src_column", "dst_table", "dst_column").distinct()
+         .repartition(n, "src_table", "src_column").checkpoint(eager=True))
     known = seed.select(*cols).distinct().checkpoint(eager=True)
     delta = known
     for i in range(1, MAX_ROUNDS + 1):
