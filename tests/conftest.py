@@ -14,7 +14,8 @@ from shroud.sources import metadata as md  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[*]", 8, app="shroud-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="shroud-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="shroud-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shroud-test-wh-")})
     yield s
     s.stop()
 
