@@ -168,18 +168,20 @@ def grants_log(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     sc = schemas(spark, sf)
     oc = o.join(c, o.o_custkey == c.c_custkey).join(sc, F.col("c_nationkey") == sc.n_nationkey)
-    who = _cust_name(F.col("o_custkey"))
-    use_cat = oc.select((F.col("o_orderkey") * 10).alias("seq"),
-                        F.when(F.col("o_orderpriority") == "5-LOW", "REVOKE").otherwise("GRANT").alias("action"),
-                        F.lit("USE CATALOG").alias("privilege"), F.col("catalog_id").alias("securable_id"),
-                        who.alias("principal"))
-    use_sch = oc.select((F.col("o_orderkey") * 10 + 1).alias("seq"),
-                        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "REVOKE").otherwise("GRANT").alias("action"),
-                        F.lit("USE SCHEMA").alias("privilege"), F.col("schema_id").alias("securable_id"),
-                        who.alias("principal"))
-    manage = oc.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).select(
-        (F.col("o_orderkey") * 10 + 2).alias("seq"), F.lit("GRANT").alias("action"), F.lit("MANAGE").alias("privilege"),
-        F.col("schema_id").alias("securable_id"), who.alias("principal"))
+    # one pass over orders: up to three grant events per order, exploded
+    prio = F.col("o_orderpriority")
+
+    def ev(off, action, privilege, securable):
+        return F.struct((F.col("o_orderkey") * 10 + off).alias("seq"), action.alias("action"),
+                        F.lit(privilege).alias("privilege"), F.col(securable).alias("securable_id"))
+    events = F.array(
+        ev(0, F.when(prio == "5-LOW", "REVOKE").otherwise("GRANT"), "USE CATALOG", "catalog_id"),
+        ev(1, F.when(prio == "4-NOT SPECIFIED", "REVOKE").otherwise("GRANT"), "USE SCHEMA", "schema_id"),
+        F.when((prio == "1-URGENT") & (F.col("o_orderstatus") == "F"),
+               ev(2, F.lit("GRANT"), "MANAGE", "schema_id")))
+    per_order = (oc.select(_cust_name(F.col("o_custkey")).alias("principal"), F.explode(events).alias("e"))
+                 .where(F.col("e").isNotNull())
+                 .select("e.seq", "e.action", "e.privilege", "e.securable_id", "principal"))
     li = _lineitem_tables(spark, sf)
     lo = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
     sel = lo.select((F.col("l_orderkey") * 10 + 2 + F.col("l_linenumber")).alias("seq"),
@@ -187,7 +189,7 @@ def grants_log(spark: SparkSession, sf: str) -> DataFrame:
                     F.lit("SELECT").alias("privilege"), F.col("table_id").alias("securable_id"),
                     _cust_name(F.col("o_custkey")).alias("principal"))
     hand = literal(spark, HAND_GRANTS, md.GRANTS_LOG)
-    return hand.unionByName(use_cat).unionByName(use_sch).unionByName(manage).unionByName(sel)
+    return hand.unionByName(per_order).unionByName(sel)
 
 
 def principals(spark: SparkSession, sf: str) -> DataFrame:
