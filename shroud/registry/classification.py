@@ -29,7 +29,7 @@ SCHEMA_TABLES = {
 }
 
 CUSTOM = (
-    C.Classifier("api_token", C.REGEX, r'token = "[0-9a-f]{16,}', "secret", "token", 0.005),
+    C.Classifier("api_token", C.REGEX, r'token = "[0-9a-f]{16,}', "secret", "token", 0.005, guard='token = "'),
     C.Classifier("name_column", C.COLUMN_NAME, r"(?i)(name|mail)", "class", "person_name", 0.5),
 )
 

@@ -14,6 +14,7 @@ from ..sources import metadata as md
 from ..sources.tables import literal, read_table
 from . import estate as es
 from .common import ENTS_SQL, entitlements, memberships
+from ..operators.classify import extract_all
 from .protection import EMAIL_RE, email_addresses
 
 GRP_SQL = """SELECT member AS reader, group_name FROM members
@@ -263,7 +264,7 @@ WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'Customer#000000008' AND
 
 def page_contacts(spark, sf) -> DataFrame:
     pages = read_table(spark, sf, "pages")
-    return pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(EMAIL_RE), 0))
+    return pages.select("page_id", F.posexplode(extract_all(F.col("html"), EMAIL_RE, "@"))
                         .alias("pos", "email")).select("page_id", (F.col("pos") + 1).alias("pos"), "email")
 
 

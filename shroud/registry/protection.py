@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.masks import EMAIL_HIDDEN_TEXT, ID_MASK_TEXT
+from ..operators.classify import extract_all
 from ..operators import entitlements as E
 from ..plans.protect import (Control, Reader, default_functions, export_protected, group_constant_mask,
                              group_filter, protect, protected_view)
@@ -78,7 +79,7 @@ SELECT c_custkey, CASE WHEN {_sql_raw('dee')} THEN c_acctbal END AS c_acctbal FR
 def email_addresses(spark, sf) -> DataFrame:
     """Addresses pulled out of whole document texts: (doc_id, pos, email)."""
     docs = read_table(spark, sf, "documents")
-    return docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(EMAIL_RE), 0))
+    return docs.select("doc_id", F.posexplode(extract_all(F.col("text"), EMAIL_RE, "@"))
                        .alias("pos", "email")).select("doc_id", (F.col("pos") + 1).alias("pos"), "email")
 
 
