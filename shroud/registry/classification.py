@@ -53,8 +53,8 @@ def q_classify_pages(spark, sf):
 def q_classify_cards(spark, sf):
     """Per document with a 16-digit run: how many runs, how many pass the check digit."""
     d = read_table(spark, sf, "documents").select("doc_id", C.card_runs(F.col("text")).alias("runs"))
-    return d.where(F.size("runs") > 0).select("doc_id", F.size("runs").alias("n_runs"),
-                                              F.size(F.filter("runs", C.luhn_ok)).alias("n_valid"))
+    return d.where(F.size("runs") > 0).select("doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+                                              F.size(F.filter("runs", C.luhn_ok)).cast("bigint").alias("n_valid"))
 
 
 def q_classify_dictionary(spark, sf):
@@ -145,7 +145,7 @@ def _hit_sql(c: C.Classifier, col: str) -> str:
 
 
 def _finding_sql(table: str, table_id: str, col: str, c: C.Classifier) -> str:
-    hits = f"count({col})" if c.kind == C.COLUMN_NAME else f"count_if(coalesce({_hit_sql(c, col)}, false))"
+    hits = f"count({col})" if c.kind == C.COLUMN_NAME else f"CAST(count_if(coalesce({_hit_sql(c, col)}, false)) AS BIGINT)"
     return (f"SELECT '{table_id}' AS table_id, '{col}' AS column_name, '{c.name}' AS classifier, "
             f"'{c.tag_key}' AS tag_key, '{c.tag_value}' AS tag_value, count({col}) AS n_nonnull, {hits} AS n_hits "
             f"FROM {table}")

@@ -265,7 +265,7 @@ WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'Customer#000000008' AND
 def page_contacts(spark, sf) -> DataFrame:
     pages = read_table(spark, sf, "pages")
     return pages.select("page_id", F.posexplode(extract_all(F.col("html"), EMAIL_RE, "@"))
-                        .alias("pos", "email")).select("page_id", (F.col("pos") + 1).alias("pos"), "email")
+                        .alias("pos", "email")).select("page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "email")
 
 
 def q_policy_new_table(spark, sf):

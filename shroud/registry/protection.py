@@ -80,7 +80,7 @@ def email_addresses(spark, sf) -> DataFrame:
     """Addresses pulled out of whole document texts: (doc_id, pos, email)."""
     docs = read_table(spark, sf, "documents")
     return docs.select("doc_id", F.posexplode(extract_all(F.col("text"), EMAIL_RE, "@"))
-                       .alias("pos", "email")).select("doc_id", (F.col("pos") + 1).alias("pos"), "email")
+                       .alias("pos", "email")).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "email")
 
 
 EMAILS_SQL = f"""SELECT doc_id, unnest(generate_series(1, len(m))) AS pos, unnest(m) AS email
