@@ -48,8 +48,11 @@ def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
     for i in range(1, MAX_ROUNDS + 1):
         step = (delta.join(e, (delta.table_id == e.src_table) & (delta.column_name == e.src_column))
                 .select(F.col("dst_table").alias("table_id"), F.col("dst_column").alias("column_name"),
-                        "key", "value").distinct())
-        new = step.join(known, cols, "left_anti").checkpoint(eager=True)
+                        "key", "value").distinct()).checkpoint(eager=True)
+        # which of this round's facts are known already: the known set is probed with the
+        # step (AQE broadcasts a small step), so it is scanned, not shuffled, every round
+        seen = known.join(step, cols, "left_semi")
+        new = step.join(seen, cols, "left_anti").checkpoint(eager=True)
         if new.isEmpty():
             break
         known = known.unionByName(new)
