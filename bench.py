@@ -64,7 +64,7 @@ def protected_lineitem_agg(spark, sf):
 
 def main():
     spark = build_session(f"local[{CPUS}]", max(CPUS, 8), app="shroud-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
     reg = all_queries()
     headline = {
         "raw_lineitem_agg": raw_lineitem_agg,
