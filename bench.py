@@ -62,6 +62,30 @@ def protected_lineitem_agg(spark, sf):
     return _q1(protect(read_table(spark, sf, "lineitem"), ctl, Reader("bench", ents)))
 
 
+def resolve_many_policies(spark, sf):
+    """Resolve controls over the derived estate under ~10^2 policies: four policies per
+    schema, generated from the schema relation (an explode of four templates per row)."""
+    from shroud.operators import policies as P
+    from shroud.registry import estate as es
+    from shroud.registry.governance import gov
+
+    g = gov(spark, sf)
+    tmpl = F.array(*[F.struct(F.lit(n).alias("suffix"), F.lit(k).alias("kind"), F.lit(fn).alias("function"),
+                              F.lit(mk).alias("match_key"), F.lit(mv).cast("string").alias("match_value"))
+                     for n, k, fn, mk, mv in (("email", md.MASK, "email_partial", "pii", "email"),
+                                              ("ssn", md.MASK, "redact", "pii", "ssn"),
+                                              ("any", md.MASK, "null_mask", "pii", None),
+                                              ("rows", md.FILTER, "scope_filter", "rls", "region"))])
+    pol = es.schemas(spark, sf).select("schema_id", F.explode(tmpl).alias("t")).select(
+        F.concat("schema_id", F.lit("."), "t.suffix").alias("name"), F.lit("schema").alias("scope_kind"),
+        F.col("schema_id").alias("scope_name"), "t.kind", "t.function",
+        F.array(F.lit(md.EVERYONE)).alias("to_principals"), F.array().cast("array<string>").alias("except_principals"),
+        F.lit(None).cast("string").alias("when_key"), F.lit(None).cast("string").alias("when_value"),
+        "t.match_key", "t.match_value")
+    g.policies = pol
+    return P.control_conflicts(g.controls())
+
+
 def main():
     spark = build_session(f"local[{CPUS}]", max(CPUS, 8), app="shroud-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
@@ -77,6 +101,7 @@ def main():
         "classify_schema": reg["classify_schema"],
         "effective_controls": reg["effective_controls"],
         "control_conflicts": reg["control_conflicts"],
+        "resolve_100_policies": resolve_many_policies,
         "policy_filter_apply": reg["policy_filter_apply"],
         "effective_read": reg["effective_read"],
         "audit_summary": reg["audit_summary"],
