@@ -72,6 +72,34 @@ class Governance:
         the control set is fixed when the DataFrame is built, entitlements are not."""
         return protect(df, self.controls_for(table_id, reader), reader, self.functions)
 
+    def materialize(self, folder: str, partitions: int | None = None) -> "Governance":
+        """Write the relations a per-read lookup filters by table id (current column and
+        table tags, manual controls, table paths) into ``folder`` (a shared location such as
+        a sub-folder of spark.checkpoint.dir), range-partitioned and sorted by table_id.
+        protect_table() then reads a few row groups per table (parquet min/max statistics
+        on table_id) instead of scanning every tag. Returns a Governance over those files;
+        later tag events can still be appended with with_tags()."""
+        spark = self.column_tags.sparkSession
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+        def write(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+            path = f"{folder.rstrip('/')}/{name}"
+            df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        ct = (self.column_tags.groupBy("table_id", "column_name", "key")
+              .agg(F.max("seq").alias("seq"), TG.latest("value").alias("value"))
+              .select("seq", "table_id", "column_name", "key", "value"))
+        tt = (self.table_tags.groupBy("table_id", "key")
+              .agg(F.max("seq").alias("seq"), TG.latest("value").alias("value"))
+              .select("seq", "table_id", "key", "value"))
+        g = Governance(write(self.securables, "securables", ["id"]),
+                       write(ct, "column_tags", ["table_id", "column_name"]),
+                       write(tt, "table_tags", ["table_id"]), self.vocab, self.policies,
+                       write(self.manual, "manual_controls", ["table_id"]), self.functions)
+        g._valid, g._valid_src = self._valid, self._valid_src
+        return g
+
     def with_tags(self, rows: DataFrame) -> "Governance":
         """A new table or column tagged later (P9): same policies, more tag rows."""
         g = Governance(self.securables, self.column_tags.unionByName(rows), self.table_tags, self.vocab,
