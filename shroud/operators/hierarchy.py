@@ -49,27 +49,28 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 def group_closure(memberships: DataFrame) -> DataFrame:
     """(member, group_name) for direct and nested membership; cycle-safe.
 
-    Each round extends known pairs by one group->group edge. Only rows whose member is
-    itself a group (nested edges) take part on the right side; they are few, and a
-    popular group that holds a third of all members is one key on the left that AQE's
-    skew handling splits. Rounds stop when no new pair appears.
+    Semi-naive: each round extends only the pairs found in the previous round by one
+    group->group edge and keeps those not known yet. Only rows whose member is itself a
+    group (nested edges) take part on the right side; they are few, and a popular group
+    that holds a third of all members is one key on the left that AQE's skew handling
+    splits. Rounds stop when a round finds nothing new.
     """
-    known = memberships.select("member", "group_name").where(
-        F.col("member").isNotNull() & F.col("group_name").isNotNull()).distinct()
+    known = _checkpointed(memberships.select("member", "group_name").where(
+        F.col("member").isNotNull() & F.col("group_name").isNotNull()).distinct())
     groups = known.select(F.col("group_name").alias("g")).distinct()
-    nested = (known.join(groups, known.member == groups.g, "left_semi")
-              .select(F.col("member").alias("via"), F.col("group_name").alias("up")))
-    known = _checkpointed(known)
-    n = known.count()
-    for _ in range(MAX_ROUNDS):
-        step = (known.join(nested, known.group_name == nested.via)
-                .select(known.member, nested.up.alias("group_name")))
-        grown = _checkpointed(known.unionByName(step).distinct())
-        m = grown.count()
-        known = grown
-        if m == n:
+    nested = _checkpointed(known.join(groups, known.member == groups.g, "left_semi")
+                           .select(F.col("member").alias("via"), F.col("group_name").alias("up")))
+    delta = known
+    for i in range(1, MAX_ROUNDS + 1):
+        step = (delta.join(nested, delta.group_name == nested.via)
+                .select(delta.member, nested.up.alias("group_name")).distinct())
+        new = _checkpointed(step.join(known, ["member", "group_name"], "left_anti"))
+        if new.isEmpty():
             break
-        n = m
+        known = known.unionByName(new)
+        if i % 8 == 0:
+            known = _checkpointed(known)
+        delta = new
     return known
 
 
