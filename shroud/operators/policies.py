@@ -14,13 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.metadata import EVERYONE, FILTER, MASK
+from ..sources.metadata import EVERYONE, MASK
 from . import tags as TG
 from .joins import bounded_broadcast
 
-CONTROL_COLS = ("table_id", "column_name", "kind", "function", "origin")
-
-
 def valid_policies(policies: DataFrame, vocab: DataFrame) -> DataFrame:
     """Policies whose conditions are governed; the others could not have been created."""
     bad = TG.policy_condition_errors(policies, vocab).select("name").distinct()
@@ -80,12 +77,14 @@ def effective_controls(manual: DataFrame, targets: DataFrame) -> DataFrame:
 
 def control_conflicts(controls: DataFrame) -> DataFrame:
     """Two masks on one column, or two row filters on one table.
-    (table_id, column_name, kind, n, origins); column_name is NULL for filters."""
+    (table_id, column_name, kind, n, origins); column_name is NULL for filters. ``origins``
+    lists the distinct sources (policies, 'manual'), so its size is bounded by the number
+    of policies, not by how many rows a source repeats."""
     unit_col = F.when(F.col("kind") == MASK, F.col("column_name"))
     return (controls.withColumn("unit_col", unit_col)
             .groupBy("table_id", "unit_col", "kind")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.array_join(F.array_sort(F.collect_list("origin")), ",").alias("origins"))
+                 F.array_join(F.array_sort(F.collect_set("origin")), ",").alias("origins"))
             .where(F.col("n") > 1)
             .select("table_id", F.col("unit_col").alias("column_name"), "kind", "n", "origins"))
 

@@ -156,7 +156,7 @@ def q_control_conflicts(spark, sf):
 
 _CONFLICTS_BODY = """
 SELECT table_id, CASE WHEN kind = 'MASK' THEN column_name END AS column_name, kind, count(*) AS n,
-       array_to_string(list_sort(list(origin)), ',') AS origins
+       array_to_string(list_sort(list(DISTINCT origin)), ',') AS origins
 FROM ctl GROUP BY table_id, CASE WHEN kind = 'MASK' THEN column_name END, kind HAVING count(*) > 1"""
 
 SQL_CONTROL_CONFLICTS = es.sql_with({"valid": VALID_SQL, "targets": TARGETS_SQL, "ctl": CTL_SQL}, _CONFLICTS_BODY)

@@ -15,7 +15,7 @@ from ..plans.protect import (Control, Reader, default_functions, export_protecte
 from ..session import shared_dir
 from ..sources import metadata as md
 from ..sources.tables import literal, read_table
-from .common import ENTS_SQL, MEMBERS_SQL, entitlements, memberships, values_sql, with_ctes
+from .common import ENTS_SQL, MEMBERS_SQL, entitlements, memberships, with_ctes
 
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 

@@ -1,7 +1,6 @@
 """Tags and policies on the metadata fixtures (FIXTURES.md section 3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from shroud.functions.masks import REDACTED_TEXT
 from shroud.operators import policies as P

@@ -3,7 +3,6 @@ a SQL function with a query in its body equal to our Column masks and filters.""
 
 import uuid
 
-from pyspark.sql import functions as F
 
 from shroud.functions.masks import ID_MASK_TEXT
 from shroud.plans.protect import Control, Reader, protect

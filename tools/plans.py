@@ -13,7 +13,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from shroud.operators import audit as AU  # noqa: E402
 from shroud.operators import classify as C  # noqa: E402
