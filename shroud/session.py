@@ -40,6 +40,44 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a cluster run, so that every task's share fits in executor
+    memory and spills rarely.
+
+    Scans split files into ``target_partition_mb`` pieces; the initial shuffle partition
+    count covers the input at that size (never fewer than two waves of the cores), and AQE
+    coalesces small partitions to the same advisory size at run time. A partition five times
+    the median and above twice the target is treated as skewed and split. The broadcast bound
+    is explicit: sides under 64 MB are broadcast, larger ones stay shuffle joins.
+    """
+    target = target_partition_mb * MB
+    parts = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
+def apply_cluster_conf(spark: SparkSession, input_bytes: int, total_cores: int) -> None:
+    """Set the sizing above on a running session (runtime SQL settings only), keeping any
+    value the cluster set at submit time."""
+    submitted = spark.sparkContext.getConf()
+    for k, v in cluster_conf(input_bytes, total_cores).items():
+        if not submitted.contains(k):
+            spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
 

@@ -43,3 +43,18 @@ def test_group_bound(spark):
     with pytest.raises(ValueError):
         principal_groups(members, "u", max_groups=3)
     assert len(principal_groups(members, "u", max_groups=10)) == 6   # five groups and everyone
+
+
+def test_cluster_conf_sizes():
+    from shroud.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40), 8000)           # 100 TB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert cluster_conf(1 << 30, 64)["spark.sql.shuffle.partitions"] == "128"
+
+
+def test_apply_cluster_conf_keeps_submitted(spark):
+    from shroud.session import apply_cluster_conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_cluster_conf(spark, 1 << 30, 4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before   # set when the session was built
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
