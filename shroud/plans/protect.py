@@ -143,7 +143,7 @@ def scope_filter(reader: Reader, df: DataFrame, cols: list[str]) -> DataFrame:
         if scopes is not None:
             pred = scope_literal_predicate(value, scopes)
             return df if pred is None else df.filter(pred)
-    elif E.scope_count(ent, reader.principal) <= reader.max_scope_literal:
+    elif reader.stats()[0] <= reader.max_scope_literal:
         return df.filter(scope_predicate(value, reader.scopes()))
     mine = ent.where(F.col("principal") == F.lit(reader.principal))
     if mine.where(F.col("scope") == ALL_SCOPE).limit(1).count() > 0:
