@@ -60,10 +60,14 @@ def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags:
                 | ((F.col("scope_kind") == "catalog") & (F.col("catalog_id") == F.col("scope_name")))
                 | ((F.col("scope_kind") == "metastore") & (F.col("metastore_id") == F.col("scope_name"))))
     m = m.where(in_scope)
-    plain = m.where(F.col("when_key").isNull())
-    tt = current_ttags.select("table_id", F.col("key").alias("when_key"), F.col("value").alias("when_value"))
-    gated = m.where(F.col("when_key").isNotNull()).join(tt, ["table_id", "when_key", "when_value"], "left_semi")
-    return plain.unionByName(gated).select("policy", "kind", "function", "table_id", "column_name")
+    # WHEN in one pass (no union of two copies of the plan): a table has one current value
+    # per key, so the left join never multiplies rows; a policy without WHEN never matches
+    # (NULL key) and is kept by the first term
+    tt = current_ttags.select("table_id", F.col("key").alias("when_key"), F.col("value").alias("when_value"),
+                              F.lit(True).alias("when_ok"))
+    m = m.join(tt, ["table_id", "when_key", "when_value"], "left")
+    return (m.where(F.col("when_key").isNull() | F.col("when_ok"))
+            .select("policy", "kind", "function", "table_id", "column_name"))
 
 
 def effective_controls(manual: DataFrame, targets: DataFrame) -> DataFrame:
