@@ -51,6 +51,14 @@ class Reader:
         self._stats: tuple[int, bool] | None = None
         self._scope_list: list[str] | None = None
 
+    @classmethod
+    def current(cls, spark, entitlements: DataFrame | None = None, memberships: DataFrame | None = None,
+                **kw) -> "Reader":
+        """The session's own user (``current_user()``), for callers that do not name a
+        principal. Local mode reports the operating-system user."""
+        who = spark.range(1).select(F.current_user()).first()[0]
+        return cls(who, entitlements, memberships, **kw)
+
     def live(self) -> "Reader":
         r = Reader(self.principal, self.entitlements, self.memberships, self.max_scope_literal, snapshot=False)
         r._groups = self._groups

@@ -201,3 +201,11 @@ def test_export_roundtrip(spark, people, ents, scratch):
     out = protect(people, CONTROLS, Reader("p_two", ents))
     back = export_protected(out, f"{scratch}/export")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_reader_defaults_to_current_user(spark, people):
+    who = spark.range(1).select(F.current_user()).first()[0]
+    ents = spark.createDataFrame([(who, "SOUTH", True)], md.ENTITLEMENTS)
+    r = Reader.current(spark, ents)
+    assert r.principal == who
+    assert sorted(x.id for x in protect(people, CONTROLS, r).collect()) == [3, 4]
