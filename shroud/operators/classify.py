@@ -123,10 +123,17 @@ FINDINGS_SCHEMA = "table_id string, column_name string, classifier string, tag_k
 
 
 def classify(df: DataFrame, table_id: str, classifiers: Sequence[Classifier],
-             columns: Sequence[str] | None = None, words: Sequence[str] = GIVEN_NAMES) -> DataFrame:
+             columns: Sequence[str] | None = None, words: Sequence[str] = GIVEN_NAMES,
+             sample_fraction: float | None = None, seed: int = 0) -> DataFrame:
     """Findings (table_id, column_name, classifier, tag_key, tag_value, n_nonnull,
     n_hits, share) for every string column x content classifier, plus column-name
-    classifiers, which read the schema only."""
+    classifiers, which read the schema only.
+
+    ``sample_fraction`` (C5, optional) classifies a Bernoulli sample of rows, fixed by
+    ``seed``, when a whole scan of a very large table is not wanted; shares are then
+    estimates. Without it every row and every whole text is tested."""
+    if sample_fraction is not None:
+        df = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     cols = list(columns) if columns is not None else strings
     content = [c for c in classifiers if c.kind != COLUMN_NAME]
