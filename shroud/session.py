@@ -84,7 +84,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster sets it to a shared file system. Only when it is unset (local tests) do
     we pick a scratch folder of our own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
@@ -98,4 +101,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder, for tables written to cut lineage."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return f"{base}/{name}"
