@@ -262,6 +262,45 @@ SELECT 'Customer#000000008', c_custkey, '[REDACTED]', c_mktsegment FROM customer
 WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'Customer#000000008' AND (e.scope = c.c_mktsegment OR e.scope = 'ALL'))"""
 
 
+def q_policy_read_materialized(spark, sf):
+    """P2 through governance relations written once sorted by table id (pruned lookups)."""
+    import uuid
+
+    from ..session import shared_dir
+    m = gov(spark, sf).materialize(shared_dir(spark, f"governance_{uuid.uuid4().hex}"))
+    return m.protect_table("main.tpch.customer", read_table(spark, sf, "customer"), _reader(spark, sf, "ana"))
+
+
+def q_catalog_statements_read(spark, sf):
+    """The statement facade on a driver table: two masks and a row filter set, a third
+    mask set and dropped again, then one reader's read."""
+    from ..plans.catalog import ProtectionCatalog
+    cat = ProtectionCatalog(spark)
+    t = "main.tpch.customer"
+    cat.create_table(t, read_table(spark, sf, "customer"), owner="owner_tpch")
+    cat.set_mask(t, "c_name", "id_mask")
+    cat.set_mask(t, "c_acctbal", "null_mask")
+    cat.set_mask(t, "c_nationkey", "null_mask")
+    cat.set_row_filter(t, "scope_filter", ["c_mktsegment"])
+    cat.drop_mask(t, "c_nationkey")
+    return cat.read(t, _reader(spark, sf, "dee"))
+
+
+SQL_POLICY_READ_MATERIALIZED = SQL_POLICY_FILTER_APPLY
+
+SQL_CATALOG_STATEMENTS_READ = f"""
+WITH ents AS {_ENTS}
+SELECT c_custkey,
+       CASE WHEN (SELECT coalesce(bool_or(can_view_raw), false) FROM ents WHERE principal = 'dee') THEN c_name
+            ELSE 'XXX-XX-XXXX' END AS c_name,
+       c_nationkey,
+       CASE WHEN (SELECT coalesce(bool_or(can_view_raw), false) FROM ents WHERE principal = 'dee') THEN c_acctbal END
+         AS c_acctbal,
+       c_mktsegment
+FROM customer c
+WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'dee' AND (e.scope = c.c_mktsegment OR e.scope = 'ALL'))"""
+
+
 def page_contacts(spark, sf) -> DataFrame:
     pages = read_table(spark, sf, "pages")
     return pages.select("page_id", F.posexplode(extract_all(F.col("html"), EMAIL_RE, "@"))
@@ -307,6 +346,8 @@ QUERIES = {
     "policy_filter_apply": q_policy_filter_apply,
     "policy_except_principal": q_policy_except_principal,
     "policy_new_table": q_policy_new_table,
+    "policy_read_materialized": q_policy_read_materialized,
+    "catalog_statements_read": q_catalog_statements_read,
 }
 
 ORACLES = {
@@ -327,4 +368,6 @@ ORACLES = {
     "policy_filter_apply": SQL_POLICY_FILTER_APPLY,
     "policy_except_principal": SQL_POLICY_EXCEPT_PRINCIPAL,
     "policy_new_table": SQL_POLICY_NEW_TABLE,
+    "policy_read_materialized": SQL_POLICY_READ_MATERIALIZED,
+    "catalog_statements_read": SQL_CATALOG_STATEMENTS_READ,
 }
