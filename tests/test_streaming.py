@@ -32,3 +32,18 @@ def test_stream_classify_equals_batch(spark, scratch):
     got = run_aggregate(C.classify(stream, "d", C.BUILTIN, ["text"]), f"{scratch}/out", f"{scratch}/ck")
     want = C.classify(docs, "d", C.BUILTIN, ["text"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_protect_directly_on_a_stream(spark, scratch):
+    """A snapshot reader's protect() is stateless literal work, so it applies to a
+    streaming DataFrame as it is, with any sink; the result equals the batch answer."""
+    events, src = _split(spark, scratch, "events")
+    ents = spark.createDataFrame([("ops", "error", False)], md.ENTITLEMENTS)
+    ctl = [Control(md.FILTER, "scope_filter", ("event_type",)), Control(md.MASK, "null_mask", ("value",))]
+    stream = protect(file_stream(spark, src, "*.parquet", events.schema, max_files=2), ctl, Reader("ops", ents))
+    q = (stream.writeStream.format("parquet").option("path", f"{scratch}/direct")
+         .option("checkpointLocation", f"{scratch}/direct_ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{scratch}/direct")
+    want = protect(events, ctl, Reader("ops", ents))
+    assert sorted(map(tuple, got.select(*events.columns).collect())) == sorted(map(tuple, want.collect()))
