@@ -54,7 +54,7 @@ def test_lab_flow(spark, people, scratch, persist):
     cat.create_governed_tag("pii", ["ssn", "email"])
     cat.create_governed_tag("rls", ["region"])
     cat.set_tag("lab.hr.people", "mail", "pii", "email")
-    cat.create_policy("mask_pii_email", "schema", "lab.hr", md.MASK, "email_partial", [md.EVERYONE], "pii", "email")
+    cat.create_policy("emails_partial", "schema", "lab.hr", md.MASK, "email_partial", [md.EVERYONE], "pii", "email")
     rows = cat.read("lab.hr.people", Reader("me", all_raw)).orderBy("id").collect()
     assert rows[0].mail == "k****@corp.test" and rows[0].taxno == "101-11-1001"
 
@@ -68,20 +68,20 @@ def test_lab_flow(spark, people, scratch, persist):
 
     # a row-filter policy by tag, scoped to one region
     cat.set_tag("lab.hr.depts", "region", "rls", "region")
-    cat.create_policy("filter_by_region", "schema", "lab.hr", md.FILTER, "scope_filter", [md.EVERYONE], "rls", "region")
+    cat.create_policy("rows_by_area", "schema", "lab.hr", md.FILTER, "scope_filter", [md.EVERYONE], "rls", "region")
     south = ents(spark, [("me", "SOUTH", True)])
     assert [r.dept_id for r in cat.read("lab.hr.depts", Reader("me", south)).orderBy("dept_id").collect()] == [2, 3]
-    assert [r.name for r in cat.show_policies("lab.hr").collect()] == ["filter_by_region", "mask_pii_email"]
+    assert [r.name for r in cat.show_policies("lab.hr").collect()] == ["emails_partial", "rows_by_area"]
 
     # an ordinary (ungoverned) key cannot be used in a policy
     with pytest.raises(PolicyConditionError, match="PII"):
         cat.create_policy("bad", "schema", "lab.hr", md.MASK, "redact", [md.EVERYONE], "PII", "ssn")
 
     # cleanup: dropping a missing policy is an error; controls come off
-    cat.drop_policy("mask_pii_email", "lab.hr")
+    cat.drop_policy("emails_partial", "lab.hr")
     with pytest.raises(PolicyNotFound):
-        cat.drop_policy("mask_pii_email", "lab.hr")
-    cat.drop_policy("filter_by_region", "lab.hr")
+        cat.drop_policy("emails_partial", "lab.hr")
+    cat.drop_policy("rows_by_area", "lab.hr")
     cat.drop_mask("lab.hr.people", "taxno")
     cat.drop_mask("lab.hr.people", "pay")
     cat.drop_row_filter("lab.hr.people")

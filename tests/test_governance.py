@@ -36,13 +36,13 @@ COLUMN_TAGS = [
 TABLE_TAGS = [(1, "hr.core.depts", "sensitivity", "high")]
 POLICIES = [
     ("email_hr", "catalog", "hr", md.MASK, "email_partial", [E], [], None, None, "pii", "email"),
-    ("ssn_core", "schema", "hr.core", md.MASK, "redact", [E], ["hr_admins"], None, None, "pii", "ssn"),
+    ("ssn_core", "schema", "hr.core", md.MASK, "redact", [E], ["pay_admins"], None, None, "pii", "ssn"),
     ("any_pii_pay", "schema", "hr.pay", md.MASK, "null_mask", [E], [], None, None, "pii", None),
     ("rows_by_region", "metastore", "metastore", md.FILTER, "scope_filter", ["analysts"], [],
      "sensitivity", "high", "rls", "region"),
     ("broken", "schema", "hr.core", md.MASK, "redact", [E], [], None, None, "PII", "ssn"),
 ]
-MEMBERS = [("ann", "analysts"), ("hal", "hr_admins"), ("hal", "analysts")]
+MEMBERS = [("ann", "analysts"), ("hal", "pay_admins"), ("hal", "analysts")]
 ENTS = [("ann", "NORTH", False), ("hal", "ALL", True)]
 
 
