@@ -12,7 +12,7 @@ from ..operators import hierarchy as H
 from ..operators import policies as P
 from ..operators import tags as TG
 from ..operators.joins import localize
-from ..sources.metadata import FILTER
+from ..sources.metadata import EVERYONE, FILTER
 from .protect import Control, Functions, Reader, default_functions, protect
 
 # One table's controls are collected to the driver to build the Column expressions; their
@@ -53,11 +53,20 @@ class Governance:
         pol = self.valid_policies() if policies is None else policies
         return P.policy_targets(pol, TG.current_column_tags(ct), TG.current_table_tags(tt), paths)
 
+    def _named_identities(self) -> set[str]:
+        """Principals and groups that valid policies name in TO / EXCEPT, besides the
+        everyone-group (the valid policies are a local, bounded relation)."""
+        rows = self.valid_policies().select("to_principals", "except_principals").collect()
+        return {x for r in rows for arr in r for x in (arr or [])} - {EVERYONE}
+
     def controls(self, reader: Reader | None = None, table_id: str | None = None) -> DataFrame:
-        """Effective controls; for one reader when given (TO / EXCEPT applied)."""
+        """Effective controls; for one reader when given (TO / EXCEPT applied). The
+        reader's groups are resolved only when some policy names a principal or group
+        other than the everyone-group."""
         pol = self.valid_policies()
         if reader is not None:
-            pol = P.applies_to(pol, reader.principal, reader.groups())
+            groups = reader.groups() if self._named_identities() else []
+            pol = P.applies_to(pol, reader.principal, groups)
         man = self.manual if table_id is None else self.manual.where(F.col("table_id") == table_id)
         return P.effective_controls(man, self.targets(pol, table_id))
 
