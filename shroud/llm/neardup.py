@@ -10,10 +10,15 @@
    dropped once it is below the miss probability shared out over the batches.
 5. Survivors are verified exactly on the full sets: first one pair a node, which joins most
    groups, then those survivors that still lie in different components.
-6. Members of one bucket that are still in different components are paired with each other and
-   go through 4 and 5, so no link of a bucket is lost by pairing with the least node first.
+6. Buckets whose members are still in different components are compared whole, by signature, in
+   the memory of a task: only pairs that stay plausible leave it, for 5. So no link of a bucket is
+   lost by pairing with the least node first. A large bucket is cut into blocks of ``block``
+   members, and each pair of blocks is a group of its own, so no task holds more than two blocks.
    Inside a component nothing is left to test: its members are already one class.
 
+Signatures keep one byte a minhash. Bytes that agree by chance only make a pair look more alike, so
+they cost an exact check and never a link.
+
 A pair at the threshold shares no bucket with probability (1 - threshold**rows)**bands:
 5e-6 for 6 x 40 at 0.8.
 
@@ -64,7 +69,8 @@ def _digest(s: np.ndarray) -> bytes:
     return b"".join(int(A.splitmix(s, k).sum(dtype=np.uint64)).to_bytes(8, "big") for k in (11, 12))
 
 
-def _sketch(size: int, n_hash: int):
+def _sketch(size: int, n_rows: int, n_bands: int):
+    n_hash = n_rows * n_bands
     rng = np.random.default_rng(8)
     mul = rng.integers(1, 2**63, n_hash, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 2**63, n_hash, dtype=np.uint64)
@@ -83,27 +89,18 @@ def _sketch(size: int, n_hash: int):
                     at = np.concatenate([[0], np.cumsum([len(sets[k]) for k in full])[:-1]])
                     for k in range(n_hash):
                         sig[full, k] = np.minimum.reduceat(cat * mul[k] + add[k], at) >> np.uint64(32)
+                key = np.zeros((len(sets), n_bands), np.uint64)
+                for k in range(n_rows):
+                    key = key * np.uint64(0xD6E8FEB86659FD93) + sig[:, k::n_rows]
+                key = A.splitmix(key + np.arange(n_bands, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25), 5)
+                low = (sig & np.uint32(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(i, j - i), batch.column("text_key").slice(i, j - i),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([x.tobytes() if len(s) else None for x, s in zip(sig, sets)], pa.binary())],
-                    names=["doc_id", "text_key", "n_shingles", "node", "sig"])
-    return run
-
-
-def _bands(n_rows: int, n_bands: int):
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(b.num_rows, n_bands, n_rows)
-            key = np.zeros((b.num_rows, n_bands), np.uint64)
-            for k in range(n_rows):
-                key = key * np.uint64(0xD6E8FEB86659FD93) + sig[:, :, k]
-            key = A.splitmix(key + np.arange(n_bands, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25), 5)
-            node = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), n_bands)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], names=["key", "node"])
+                    pa.array([x.tobytes() if len(s) else None for x, s in zip(low, sets)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * n_bands, pa.int32()), pa.array(key.ravel().view(np.int64)))],
+                    names=["doc_id", "text_key", "n_shingles", "node", "sig", "keys"])
     return run
 
 
@@ -122,18 +119,65 @@ def least_matches(n_hash: int, batch: int, threshold: float, miss: float) -> lis
     return out
 
 
+def _matrix(col: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _plausible(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray, need: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs (i, j) that no batch prunes, and their equal bytes."""
+    alive, same, done = np.arange(len(i)), np.zeros(len(i), np.int64), 0
+    for n, m in need:
+        same[alive] += (x[i[alive], done:n] == y[j[alive], done:n]).sum(1)
+        alive, done = alive[same[alive] >= m], n
+    return alive, same[alive]
+
+
 def _bayes(n_hash: int, need: list[tuple[int, int]]):
     def run(batches):
         for b in batches:
-            if not b.num_rows:
+            if b.num_rows:
+                x, y, every = _matrix(b.column("sig_a"), n_hash), _matrix(b.column("sig_b"), n_hash), np.arange(b.num_rows)
+                at, same = _plausible(x, every, y, every, need)
+                yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(at)), b.column("b").take(pa.array(at)), pa.array(same)],
+                                                 names=["a", "b", "same"])
+    return run
+
+
+def _cross(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1 << 18):
+    """Plausible pairs of different components and blocks of each group; rows come sorted by group."""
+    def pairs(t: pa.Table):
+        group = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+        first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in group], 0)]))
+        stop = np.repeat(np.append(first[1:], len(t)), np.diff(np.append(first, len(t))))
+        sig, comp = _matrix(t.column("sig"), n_hash), np.frombuffer(b"".join(t.column("comp").to_pylist()), "V16")
+        own, n, cut = t.column("own").to_numpy(), t.column("n_shingles").to_numpy(), group[1] != group[2]
+        later = stop - np.arange(len(t)) - 1
+        total = np.concatenate([[0], np.cumsum(later)])
+        for lo, hi in A.pieces(total, most):
+            a = np.repeat(np.arange(lo, hi), later[lo:hi])
+            b = a + 1 + np.arange(len(a)) - (total[a] - total[lo])
+            ok = (comp[a] != comp[b]) & (~cut[a] | (own[a] != own[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+            a, b = a[ok], b[ok]
+            at, same = _plausible(sig, a, sig, b, need)
+            if len(at):
+                node = t.column("node").combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(a[at])), node.take(pa.array(b[at])), pa.array(same)], names=["a", "b", "same"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            if not len(t):
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, n_hash) for c in ("sig_a", "sig_b"))
-            alive, same, done = np.arange(len(x)), np.zeros(len(x), np.int64), 0
-            for n, m in need:
-                same[alive] += (x[alive, done:n] == y[alive, done:n]).sum(1)
-                alive, done = alive[same[alive] >= m], n
-            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(alive)), b.column("b").take(pa.array(alive)),
-                                              pa.array(same[alive])], names=["a", "b", "same"])
+            last = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+            new = np.flatnonzero(np.any([c != c[-1] for c in last], 0))
+            cut = int(new[-1]) + 1 if len(new) else 0  # the last group may go on in the next batch
+            held = t.slice(cut)
+            if cut:
+                yield from pairs(t.slice(0, cut))
+        if held is not None and len(held):
+            yield from pairs(held)
     return run
 
 
@@ -154,7 +198,7 @@ def _exact(size: int, threshold: float):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, rows: int = 6, bands: int = 40,
-                    batch: int = 40, miss: float = 1e-6) -> DataFrame:
+                    batch: int = 40, miss: float = 1e-6, block: int = 512) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept: one row per row of docs."""
     spark, n_hash = docs.sparkSession, rows * bands
     scratch = Scratch(spark)
@@ -162,14 +206,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     sketch = scratch.write(docs.mapInArrow(
-        _sketch(shingle, n_hash), f"doc_id {ids}, text_key long, n_shingles long, node binary, sig binary"))
-    named = sketch.select("doc_id", "n_shingles", "node", "text_key")
-
-    nodes = scratch.write(sketch.filter("node is not null").groupBy("node")
-                          .agg(F.min("text_key").alias("text_key"), F.min_by("sig", "text_key").alias("sig")))
-    bucket = scratch.write(nodes.select("node", "sig").mapInArrow(_bands(rows, bands), "key long, node binary"))
-    crowd = bucket.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    bucket = scratch.write(bucket.join(crowd, "key"))  # only buckets with two members or more
+        _sketch(shingle, rows, bands), f"doc_id {ids}, text_key long, n_shingles long, node binary, sig binary, keys array<bigint>"))
+    named = scratch.write(sketch.select("doc_id", "n_shingles", "node", "text_key"))
+    nodes = scratch.write(sketch.filter("node is not null").groupBy("node").agg(
+        F.min(F.struct("text_key", "n_shingles", "sig", "keys")).alias("x")).select("node", "x.*"))
+    scratch.drop(sketch)
+    entry = nodes.select(F.explode("keys").alias("key"), "node")
+    crowd = entry.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    bucket = scratch.write(entry.join(crowd, "key"))  # only buckets with two members or more
 
     sig, text_key = nodes.select("node", "sig"), nodes.select("node", "text_key")
     need = least_matches(n_hash, batch, threshold, miss)
@@ -210,17 +254,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
     links, label = settle(scratch.write(plausible(star)), None, None)
 
     member = bucket.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = (member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key"))
-    member = scratch.write(member.join(mixed, "key"))
-    others = scratch.write(
-        member.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        .join(member.select("key", F.col("node").alias("b"), F.col("comp").alias("cb")), "key")
-        .filter("a < b and ca != cb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    scratch.drop(bucket, member)
-    if others.take(1):
-        found = scratch.write(plausible(others))
-        if found.take(1):
-            links, label = settle(found, links, label)
+    mixed = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    member = member.join(mixed, "key").join(nodes.select("node", "n_shingles", "sig"), "node")
+    n_blocks = F.ceil(F.col("members") / block).cast("int")
+    member = member.withColumn("own", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    member = member.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n_shingles", "sig")
+    found = scratch.write(member.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                          .mapInArrow(_cross(n_hash, need, round(threshold * 100)), "a binary, b binary, same long")
+                          .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "same").distinct()
+                          .join(star, ["a", "b"], "left_anti"))
+    scratch.drop(bucket)
+    if found.take(1):
+        links, label = settle(found, links, label)
 
     classes = named.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left") \
         .withColumn("comp", F.coalesce("comp", "node"))
