@@ -4,6 +4,8 @@ user predicate and ahead of it (see README, "error channel")."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,14 @@ def scope_predicate(value: Column, scopes: Column) -> Column:
     return F.arrays_overlap(scopes, F.array(value, F.lit(ALL_SCOPE)))
 
 
+def scope_bucket_predicate(value: Column, buckets: Column, bucket_of: Callable[[Column], Column]) -> Column:
+    """F1 over a bucketed scope set, for any number of scopes. ALL is looked up like any
+    scope, inside the plan, so a revoked ALL closes a long-held view again."""
+    def held(scope: Column) -> Column:
+        return F.coalesce(F.array_contains(F.get(buckets, bucket_of(scope).cast("int")), scope.cast("string")), F.lit(False))
+    return F.when(value.isNull(), held(F.lit(ALL_SCOPE))).otherwise(held(value) | held(F.lit(ALL_SCOPE)))
+
+
 def scope_literal_predicate(value: Column, scopes: list[str]) -> Column | None:
     """F1 with a resolved scope set: None when the set holds ALL (no filter at all),
     else a literal IN list, which the parquet reader can use to skip row groups."""

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ROUNDS = 256
 COLLAPSE_EVERY = 8
 
 
@@ -36,27 +35,18 @@ def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
     delta is checkpointed into the shared checkpoint folder, so a round writes only what
     it found; the known set is the union of the checkpointed deltas, collapsed into one
     checkpoint every COLLAPSE_EVERY rounds to keep the plan narrow. Cycles end because a
-    fact is never found twice."""
+    fact is never found twice; rounds end when one finds nothing, however long a path is."""
     cols = ["table_id", "column_name", "key", "value"]
-    # edges are static: hash-partition them on the join key once; the checkpoint keeps
-    # that partitioning, so each round shuffles only the (shrinking) delta
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    e = (edges.select("src_table", "src_column", "dst_table", "dst_column").distinct()
-         .repartition(n, "src_table", "src_column").checkpoint(eager=True))
+    e = edges.select("src_table", "src_column", "dst_table", "dst_column").distinct().checkpoint(eager=True)
     known = seed.select(*cols).distinct().checkpoint(eager=True)
-    delta = known
-    for i in range(1, MAX_ROUNDS + 1):
+    delta, rounds = known, 0
+    while True:
         step = (delta.join(e, (delta.table_id == e.src_table) & (delta.column_name == e.src_column))
                 .select(F.col("dst_table").alias("table_id"), F.col("dst_column").alias("column_name"),
-                        "key", "value").distinct()).checkpoint(eager=True)
-        # which of this round's facts are known already: the known set is probed with the
-        # step (AQE broadcasts a small step), so it is scanned, not shuffled, every round
-        seen = known.join(step, cols, "left_semi")
-        new = step.join(seen, cols, "left_anti").checkpoint(eager=True)
+                        "key", "value").distinct())
+        new = step.join(known, cols, "left_anti").checkpoint(eager=True)
         if new.isEmpty():
-            break
-        known = known.unionByName(new)
-        if i % COLLAPSE_EVERY == 0:
+            return known
+        known, delta, rounds = known.unionByName(new), new, rounds + 1
+        if rounds % COLLAPSE_EVERY == 0:
             known = known.checkpoint(eager=True)
-        delta = new
-    return known

@@ -123,17 +123,11 @@ FINDINGS_SCHEMA = "table_id string, column_name string, classifier string, tag_k
 
 
 def classify(df: DataFrame, table_id: str, classifiers: Sequence[Classifier],
-             columns: Sequence[str] | None = None, words: Sequence[str] = GIVEN_NAMES,
-             sample_fraction: float | None = None, seed: int = 0) -> DataFrame:
+             columns: Sequence[str] | None = None, words: Sequence[str] = GIVEN_NAMES) -> DataFrame:
     """Findings (table_id, column_name, classifier, tag_key, tag_value, n_nonnull,
     n_hits, share) for every string column x content classifier, plus column-name
     classifiers, which read the schema only.
-
-    ``sample_fraction`` (C5, optional) classifies a Bernoulli sample of rows, fixed by
-    ``seed``, when a whole scan of a very large table is not wanted; shares are then
-    estimates. Without it every row and every whole text is tested."""
-    if sample_fraction is not None:
-        df = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+    Every row and every whole text is tested."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     cols = list(columns) if columns is not None else strings
     content = [c for c in classifiers if c.kind != COLUMN_NAME]
@@ -193,14 +187,17 @@ def propose_tags(findings: DataFrame, classifiers: Sequence[Classifier], current
             .select("table_id", "column_name", "tag_key", "tag_value", "classifier", "n_hits", "share"))
 
 
-def accept(proposals: DataFrame, decisions: DataFrame, seq_base: int = 0) -> DataFrame:
+def accept(proposals: DataFrame, decisions: DataFrame, seq_base: int = 0, log: DataFrame | None = None) -> DataFrame:
     """Review. Decisions are keyed by the proposal (table, column, key, proposed
     value): ACCEPT keeps it, ADJUST replaces the value, REJECT drops it; a proposal without
-    a decision stays pending (not applied).
+    a decision, or with any other one, stays pending (not applied). With ``log``, the tag log
+    that the rows are for, they come after its last row, so an accepted tag takes effect.
     Returns tag rows to append: (seq, table_id, column_name, key, value)."""
     d = decisions.select("table_id", "column_name", "tag_key", "tag_value", "decision", "adjusted")
     j = (proposals.join(d, ["table_id", "column_name", "tag_key", "tag_value"], "inner")
-         .where(F.col("decision") != "REJECT"))
+         .where((F.col("decision") == "ACCEPT") | ((F.col("decision") == "ADJUST") & F.col("adjusted").isNotNull())))
+    if log is not None:
+        seq_base = (log.agg(F.max("seq")).first()[0] or 0) + 1
     value = F.when(F.col("decision") == "ADJUST", F.col("adjusted")).otherwise(F.col("tag_value"))
     return j.select(F.lit(seq_base).cast("bigint").alias("seq"), "table_id", "column_name",
                     F.col("tag_key").alias("key"), value.alias("value"))

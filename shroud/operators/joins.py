@@ -1,24 +1,12 @@
-"""Join helpers with a checked size bound."""
+"""Control relations of checked size. Joins carry no broadcast hints: Spark decides from bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Control relations (policies, vocabularies, hand-written grants) are hinted for broadcast
-# only after a row count proves them small; beyond the bound the join stays a shuffle join
-# and AQE decides from measured sizes (and splits skewed keys).
-BROADCAST_MAX_ROWS = 200_000
-
 
 LOCAL_MAX_ROWS = 10_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def localize(df: DataFrame, max_rows: int = LOCAL_MAX_ROWS) -> DataFrame:
     """A control relation (policies, vocabulary) computed once and kept as a local
     relation when a count proves it small: later joins see its exact size (and broadcast

@@ -3,44 +3,49 @@
 A policy row says: in this scope (schema or catalog), for these principals (TO, minus
 EXCEPT), apply this mask to every column whose tags match, or this row filter to every
 table with a matching column (optionally only tables whose own tags satisfy WHEN).
-Resolution is a chain of joins: policies (small, broadcast after a size check) x current
-column tags (large) x table paths (one row per table).
+Resolution is a chain of joins: current column tags (large) x table paths (one row per
+table) x policies, by scope and tag key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.metadata import EVERYONE, MASK
 from . import tags as TG
-from .joins import bounded_broadcast
+
+KEY = ["scope_kind", "scope_name", "name"]  # a policy's identity: a name may recur in another scope
+
 
 def valid_policies(policies: DataFrame, vocab: DataFrame) -> DataFrame:
     """Policies whose conditions are governed; the others could not have been created."""
-    bad = TG.policy_condition_errors(policies, vocab).select("name").distinct()
-    return policies.join(bad, "name", "left_anti")
+    bad = TG.policy_condition_errors(policies, vocab).select(*KEY).distinct()
+    return policies.join(bad, KEY, "left_anti")
+
+
+def _names(column: str) -> Column:
+    return F.array_compact(F.coalesce(F.col(column), F.array().cast("array<string>")))
 
 
 def applies_to(policies: DataFrame, principal: str, groups: Sequence[str]) -> DataFrame:
     """P3/P4 for one principal: TO names the principal or one of its groups (the
-    everyone-group holds all), and EXCEPT names neither. EXCEPT wins."""
+    everyone-group holds all), and EXCEPT names neither. EXCEPT wins. A NULL among the names
+    names nobody: it neither applies nor drops a policy."""
     ids = F.array(*[F.lit(x) for x in sorted({principal, EVERYONE, *groups})])
-    exc = F.coalesce(F.col("except_principals"), F.array().cast("array<string>"))
-    return policies.where(F.arrays_overlap(F.col("to_principals"), ids) & ~F.arrays_overlap(exc, ids))
+    return policies.where(F.arrays_overlap(_names("to_principals"), ids)
+                          & ~F.arrays_overlap(_names("except_principals"), ids))
 
 
 def applicability(policies: DataFrame, identities: DataFrame) -> DataFrame:
     """P3/P4 for every principal: (policy, principal). ``identities`` is
-    (principal, identity) from hierarchy.identities. The policy side is exploded and
-    broadcast; the everyone-group, an identity of every principal, is then one probe per
-    principal instead of a hot shuffle key."""
-    to = bounded_broadcast(policies.select(F.col("name").alias("policy"),
-                                           F.explode("to_principals").alias("identity")))
-    ex = bounded_broadcast(policies.select(F.col("name").alias("policy"),
-                                           F.explode("except_principals").alias("identity")))
+    (principal, identity) from hierarchy.identities. The exploded policy side is small in
+    practice, and Spark broadcasts it by its measured bytes; the everyone-group, an identity
+    of every principal, is then one probe per principal instead of a hot shuffle key."""
+    to = policies.select(F.col("name").alias("policy"), F.explode("to_principals").alias("identity"))
+    ex = policies.select(F.col("name").alias("policy"), F.explode("except_principals").alias("identity"))
     granted = identities.join(to, "identity").select("policy", "principal").distinct()
     exempt = identities.join(ex, "identity").select("policy", "principal").distinct()
     return granted.join(exempt, ["policy", "principal"], "left_anti")
@@ -49,17 +54,18 @@ def applicability(policies: DataFrame, identities: DataFrame) -> DataFrame:
 def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags: DataFrame,
                    paths: DataFrame) -> DataFrame:
     """(policy, kind, function, table_id, column_name) for every column the
-    policy covers. Scope is tested against the table's path (schema, catalog, metastore);
-    WHEN needs the table's current tag."""
-    matched = TG.match_columns(policies, current_tags)
-    pol = bounded_broadcast(policies.select(
-        F.col("name").alias("policy"), "scope_kind", "scope_name", "kind", "function", "when_key", "when_value"))
-    m = matched.join(pol, "policy").join(paths, "table_id")
-    in_scope = (((F.col("scope_kind") == "table") & (F.col("table_id") == F.col("scope_name")))
-                | ((F.col("scope_kind") == "schema") & (F.col("schema_id") == F.col("scope_name")))
-                | ((F.col("scope_kind") == "catalog") & (F.col("catalog_id") == F.col("scope_name")))
-                | ((F.col("scope_kind") == "metastore") & (F.col("metastore_id") == F.col("scope_name"))))
-    m = m.where(in_scope)
+    policy covers. Each tag row takes the four places its table stands in (table, schema,
+    catalog, metastore), and policies join on place and tag key at once: a tag meets only
+    policies whose scope holds it, however many schemas have a policy on the same key. WHEN
+    needs the table's current tag."""
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("scope_kind"), F.col(c).alias("scope_name")) for k, c in (
+        ("table", "table_id"), ("schema", "schema_id"), ("catalog", "catalog_id"), ("metastore", "metastore_id"))]))
+    tags = current_tags.join(paths, "table_id").select("table_id", "column_name", "key", "value", at.alias("at")).select(
+        "table_id", "column_name", F.col("key").alias("match_key"), "value", "at.scope_kind", "at.scope_name")
+    pol = policies.select(F.col("name").alias("policy"), "scope_kind", "scope_name", "kind", "function",
+                          "match_key", "match_value", "when_key", "when_value")
+    m = tags.join(pol, ["scope_kind", "scope_name", "match_key"]).where(
+        F.col("match_value").isNull() | (F.col("value") == F.col("match_value")))
     # WHEN in one pass (no union of two copies of the plan): a table has one current value
     # per key, so the left join never multiplies rows; a policy without WHEN never matches
     # (NULL key) and is kept by the first term
@@ -70,13 +76,24 @@ def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags:
             .select("policy", "kind", "function", "table_id", "column_name"))
 
 
-def effective_controls(manual: DataFrame, targets: DataFrame) -> DataFrame:
-    """Manual controls (one row per masked column / per filter argument) united with
-    the policy targets; origin says where each came from."""
+def effective_controls(manual: DataFrame, targets: DataFrame, arguments: bool = False) -> DataFrame:
+    """Manual controls united with the policy targets; origin says where each came from.
+    With ``arguments`` every row also carries ``columns``, all argument columns of its
+    function (a row filter may take several)."""
     man = manual.select("table_id", F.element_at("columns", 1).alias("column_name"), "kind", "function",
-                        F.lit("manual").alias("origin"))
-    pol = targets.select("table_id", "column_name", "kind", "function", F.col("policy").alias("origin"))
-    return man.unionByName(pol)
+                        F.lit("manual").alias("origin"), "columns")
+    pol = targets.select("table_id", "column_name", "kind", "function", F.col("policy").alias("origin"),
+                         F.array("column_name").alias("columns"))
+    out = man.unionByName(pol)
+    return out if arguments else out.drop("columns")
+
+
+def detach(controls: DataFrame, removed: DataFrame) -> DataFrame:
+    """Controls without the removed ones: a mask is found by table and column (in any
+    case), a row filter by table and its first column."""
+    unit = F.lower(F.element_at("columns", 1)).alias("unit")
+    keys = removed.select("table_id", "kind", unit).distinct()
+    return controls.withColumn("unit", unit).join(keys, ["table_id", "kind", "unit"], "left_anti").drop("unit")
 
 
 def control_conflicts(controls: DataFrame) -> DataFrame:
@@ -84,13 +101,13 @@ def control_conflicts(controls: DataFrame) -> DataFrame:
     (table_id, column_name, kind, n, origins); column_name is NULL for filters. ``origins``
     lists the distinct sources (policies, 'manual'), so its size is bounded by the number
     of policies, not by how many rows a source repeats."""
-    unit_col = F.when(F.col("kind") == MASK, F.col("column_name"))
+    unit_col = F.when(F.col("kind") == MASK, F.lower("column_name"))
     return (controls.withColumn("unit_col", unit_col)
             .groupBy("table_id", "unit_col", "kind")
-            .agg(F.count(F.lit(1)).alias("n"),
+            .agg(F.count(F.lit(1)).alias("n"), F.when(F.col("kind") == MASK, F.min("column_name")).alias("column_name"),
                  F.array_join(F.array_sort(F.collect_set("origin")), ",").alias("origins"))
             .where(F.col("n") > 1)
-            .select("table_id", F.col("unit_col").alias("column_name"), "kind", "n", "origins"))
+            .select("table_id", "column_name", "kind", "n", "origins"))
 
 
 def list_policies(policies: DataFrame, scope_name: str) -> DataFrame:

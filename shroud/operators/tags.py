@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
 
 def latest(value: str, seq: str = "seq"):
     """The value of the row with the highest seq; equal seqs are broken by the larger
@@ -33,8 +31,8 @@ def tag_violations(current_tags: DataFrame, vocab: DataFrame) -> DataFrame:
 
     problem = 'ungoverned_key' (the key is not governed: an ordinary tag, unusable in a
     policy) or 'value_not_allowed' (governed key, value outside its list)."""
-    keys = bounded_broadcast(vocab.select(F.col("key").alias("vkey")).distinct())
-    pairs = bounded_broadcast(vocab.select(F.col("key").alias("vkey"), F.col("allowed_value").alias("vval")))
+    keys = vocab.select(F.col("key").alias("vkey")).distinct()
+    pairs = vocab.select(F.col("key").alias("vkey"), F.col("allowed_value").alias("vval"))
     flagged = current_tags.join(keys, current_tags.key == keys.vkey, "left")
     bad_value = (flagged.where(F.col("vkey").isNotNull())
                  .join(pairs, (F.col("key") == pairs.vkey) & (F.col("value") == pairs.vval), "left_anti"))
@@ -45,13 +43,14 @@ def tag_violations(current_tags: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def policy_condition_errors(policies: DataFrame, vocab: DataFrame) -> DataFrame:
     """T4: policy conditions that name a key outside the vocabulary (or a value outside a
-    governed key's list). Such a policy could not have been created: (name, clause, key, value)."""
+    governed key's list). Such a policy could not have been created: (scope_kind, scope_name,
+    name, clause, key, value, problem)."""
     keys = vocab.select("key").distinct()
     pairs = vocab.select("key", F.col("allowed_value").alias("value"))
-    conds = (policies.select("name", F.lit("match").alias("clause"), F.col("match_key").alias("key"),
+    conds = (policies.select("scope_kind", "scope_name", "name", F.lit("match").alias("clause"), F.col("match_key").alias("key"),
                              F.col("match_value").alias("value"))
              .unionByName(policies.where(F.col("when_key").isNotNull())
-                          .select("name", F.lit("when").alias("clause"), F.col("when_key").alias("key"),
+                          .select("scope_kind", "scope_name", "name", F.lit("when").alias("clause"), F.col("when_key").alias("key"),
                                   F.col("when_value").alias("value"))))
     unknown_key = conds.join(keys, "key", "left_anti").withColumn("problem", F.lit("unknown_key"))
     unknown_val = (conds.join(keys, "key", "left_semi").where(F.col("value").isNotNull())
@@ -65,7 +64,7 @@ class PolicyConditionError(ValueError):
 
 def validate_policies(policies: DataFrame, vocab: DataFrame) -> None:
     """Raise, naming the key, when a policy condition is not governed (T4)."""
-    bad = policy_condition_errors(policies, vocab).limit(20).collect()
+    bad = policy_condition_errors(policies, vocab).collect()  # one row per condition of a policy
     if bad:
         names = ", ".join(f"{r['name']}: unknown tag policy key `{r['key']}`" if r["problem"] == "unknown_key"
                           else f"{r['name']}: value `{r['value']}` not allowed for `{r['key']}`" for r in bad)
@@ -76,10 +75,9 @@ def match_columns(policies: DataFrame, current_tags: DataFrame) -> DataFrame:
     """Columns whose current tags satisfy a policy's MATCH condition.
     has_tag_value(k, v) when match_value is set; has_tag(k) when it is NULL.
 
-    The join key is the tag key alone; the value test is a residual condition. The policy
-    side is small and broadcast after a size check, so a key carried by a third of all
-    columns (one popular tag) causes no skewed shuffle partition."""
-    pol = bounded_broadcast(policies)
+    The join key is the tag key alone, as this report has no scope; the value test is a
+    residual condition. Resolution of controls goes by scope first (policy_targets)."""
+    pol = policies
     cond = (current_tags.key == pol.match_key) & (pol.match_value.isNull() | (current_tags.value == pol.match_value))
     return current_tags.join(pol, cond).select(
         pol["name"].alias("policy"), current_tags.table_id, current_tags.column_name,

@@ -10,8 +10,6 @@ DataFrames in the session.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +42,6 @@ class ProtectionCatalog:
         self.functions = functions or default_functions()
         self._mem = {k: spark.createDataFrame([], s) for k, s in _SCHEMAS.items()}
         self._tables: dict[str, DataFrame] = {}
-        self._seq = itertools.count(1)
 
     # ---- storage ------------------------------------------------------------------------
     def _append(self, name: str, rows: list[tuple]) -> None:
@@ -56,17 +53,25 @@ class ProtectionCatalog:
 
     def relation(self, name: str) -> DataFrame:
         if self.folder:
-            try:
-                return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}")
-            except Exception:  # noqa: BLE001 - nothing written yet
-                return self.spark.createDataFrame([], _SCHEMAS[name])
+            path = f"{self.folder}/{name}"
+            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            if not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+                return self.spark.createDataFrame([], _SCHEMAS[name])  # nothing written yet
+            return self.spark.read.schema(_SCHEMAS[name]).parquet(path)  # any failure to read raises
         return self._mem[name]
 
+    def _next_seq(self) -> int:
+        """One past the highest number in any log, so statements of a reopened catalog come
+        after those of the one before. One writer at a time is assumed."""
+        logs = [n for n, s in _SCHEMAS.items() if "seq" in s.fieldNames()]
+        return 1 + max(self.relation(n).agg(F.max("seq")).first()[0] or 0 for n in logs)
+
     # ---- objects ------------------------------------------------------------------------
     def create_table(self, table_id: str, df: DataFrame, owner: str) -> None:
         """Register a table (and its catalog and schema when new) with an owner."""
         catalog, schema, _ = table_id.split(".")
-        known = {r[0] for r in self.relation("securables").select("id").collect()}
+        ids = [md.METASTORE, catalog, f"{catalog}.{schema}", table_id]
+        known = {r[0] for r in self.relation("securables").where(F.col("id").isin(ids)).select("id").distinct().collect()}
         rows = []
         if md.METASTORE not in known:
             rows.append((md.METASTORE, None, "metastore", md.METASTORE, owner))
@@ -74,8 +79,10 @@ class ProtectionCatalog:
             rows.append((catalog, md.METASTORE, "catalog", catalog, owner))
         if f"{catalog}.{schema}" not in known:
             rows.append((f"{catalog}.{schema}", catalog, "schema", schema, owner))
-        rows.append((table_id, f"{catalog}.{schema}", "table", table_id.split(".")[-1], owner))
-        self._append("securables", rows)
+        if table_id not in known:  # a table made again keeps its row, its controls and its tags
+            rows.append((table_id, f"{catalog}.{schema}", "table", table_id.split(".")[-1], owner))
+        if rows:
+            self._append("securables", rows)
         self._tables[table_id] = df
 
     def owner_of(self, securable_id: str) -> str | None:
@@ -84,10 +91,10 @@ class ProtectionCatalog:
 
     # ---- privileges -----------------------------------------------------------------------
     def grant(self, privilege: str, securable_id: str, principal: str) -> None:
-        self._append("grants_log", [(next(self._seq), "GRANT", privilege, securable_id, principal)])
+        self._append("grants_log", [(self._next_seq(), "GRANT", privilege, securable_id, principal)])
 
     def revoke(self, privilege: str, securable_id: str, principal: str) -> None:
-        self._append("grants_log", [(next(self._seq), "REVOKE", privilege, securable_id, principal)])
+        self._append("grants_log", [(self._next_seq(), "REVOKE", privilege, securable_id, principal)])
 
     def current_grants(self) -> DataFrame:
         return PR.current_grants(self.relation("grants_log"))
@@ -100,22 +107,22 @@ class ProtectionCatalog:
 
     # ---- manual controls ------------------------------------------------------------------
     def set_mask(self, table_id: str, column: str, function: str) -> None:
-        self._append("control_log", [(next(self._seq), "SET", table_id, md.MASK, function, [column])])
+        self._append("control_log", [(self._next_seq(), "SET", table_id, md.MASK, function, [column])])
 
     def drop_mask(self, table_id: str, column: str) -> None:
-        self._append("control_log", [(next(self._seq), "DROP", table_id, md.MASK, None, [column])])
+        self._append("control_log", [(self._next_seq(), "DROP", table_id, md.MASK, None, [column])])
 
     def set_row_filter(self, table_id: str, function: str, columns: list[str]) -> None:
-        self._append("control_log", [(next(self._seq), "SET", table_id, md.FILTER, function, list(columns))])
+        self._append("control_log", [(self._next_seq(), "SET", table_id, md.FILTER, function, list(columns))])
 
     def drop_row_filter(self, table_id: str) -> None:
-        self._append("control_log", [(next(self._seq), "DROP", table_id, md.FILTER, None, [])])
+        self._append("control_log", [(self._next_seq(), "DROP", table_id, md.FILTER, None, [])])
 
     def manual_controls(self) -> DataFrame:
         """Current controls: the latest statement per (table, mask column) and per table
         for the row filter; a DROP removes."""
         log = self.relation("control_log").withColumn(
-            "unit", F.when(F.col("kind") == md.MASK, F.element_at("columns", 1)).otherwise(F.lit("")))
+            "unit", F.when(F.col("kind") == md.MASK, F.lower(F.element_at("columns", 1))).otherwise(F.lit("")))
         last = (log.groupBy("table_id", "kind", "unit")
                 .agg(F.max(F.struct("seq", "op", "function", "columns")).alias("l")))
         return last.where(F.col("l.op") == "SET").select(
@@ -126,14 +133,14 @@ class ProtectionCatalog:
         self._append("tag_vocab", [(key, v) for v in allowed_values])
 
     def set_tag(self, table_id: str, column: str, key: str, value: str) -> None:
-        self._append("column_tags", [(next(self._seq), table_id, column, key, value)])
+        self._append("column_tags", [(self._next_seq(), table_id, column, key, value)])
 
     def set_table_tag(self, table_id: str, key: str, value: str) -> None:
-        self._append("table_tags", [(next(self._seq), table_id, key, value)])
+        self._append("table_tags", [(self._next_seq(), table_id, key, value)])
 
     def policies(self) -> DataFrame:
         cols = [f.name for f in md.POLICIES.fields]
-        last = (self.relation("policy_log").groupBy("name", "scope_name")
+        last = (self.relation("policy_log").groupBy("name", "scope_name")  # DROP names no kind
                 .agg(F.max(F.struct("seq", "op", *[c for c in cols if c not in ("name", "scope_name")])).alias("l")))
         return last.where(F.col("l.op") == "CREATE").select(
             *[F.col(c) if c in ("name", "scope_name") else F.col(f"l.{c}").alias(c) for c in cols])
@@ -146,12 +153,12 @@ class ProtectionCatalog:
         row = (name, scope_kind, scope_name, kind, function, list(to), list(except_ or []), when_key, when_value,
                match_key, match_value)
         TG.validate_policies(self.spark.createDataFrame([row], md.POLICIES), self.relation("tag_vocab"))
-        self._append("policy_log", [(next(self._seq), "CREATE") + row])
+        self._append("policy_log", [(self._next_seq(), "CREATE") + row])
 
     def drop_policy(self, name: str, scope_name: str) -> None:
         """Drop a policy; a missing one is an error (no IF EXISTS)."""
         P.drop_policy(self.policies(), name, scope_name)
-        self._append("policy_log", [(next(self._seq), "DROP", name, None, scope_name, None, None, None, None,
+        self._append("policy_log", [(self._next_seq(), "DROP", name, None, scope_name, None, None, None, None,
                                      None, None, None, None)])
 
     def show_policies(self, scope_name: str) -> DataFrame:

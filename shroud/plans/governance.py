@@ -15,10 +15,6 @@ from ..operators.joins import localize
 from ..sources.metadata import EVERYONE, FILTER
 from .protect import Control, Functions, Reader, default_functions, protect
 
-# One table's controls are collected to the driver to build the Column expressions; their
-# number is bounded by the table's width, and checked.
-MAX_CONTROLS_PER_TABLE = 10_000
-
 
 @dataclass
 class Governance:
@@ -31,6 +27,8 @@ class Governance:
     functions: Functions = field(default_factory=default_functions)
 
     def __post_init__(self):
+        self._checked: DataFrame | None = None
+        self._checked_vocab: DataFrame | None = None
         self._valid: DataFrame | None = None
         self._valid_src: DataFrame | None = None
 
@@ -59,7 +57,7 @@ class Governance:
         rows = self.valid_policies().select("to_principals", "except_principals").collect()
         return {x for r in rows for arr in r for x in (arr or [])} - {EVERYONE}
 
-    def controls(self, reader: Reader | None = None, table_id: str | None = None) -> DataFrame:
+    def controls(self, reader: Reader | None = None, table_id: str | None = None, arguments: bool = False) -> DataFrame:
         """Effective controls; for one reader when given (TO / EXCEPT applied). The
         reader's groups are resolved only when some policy names a principal or group
         other than the everyone-group."""
@@ -68,17 +66,26 @@ class Governance:
             groups = reader.groups() if self._named_identities() else []
             pol = P.applies_to(pol, reader.principal, groups)
         man = self.manual if table_id is None else self.manual.where(F.col("table_id") == table_id)
-        return P.effective_controls(man, self.targets(pol, table_id))
+        return P.effective_controls(man, self.targets(pol, table_id), arguments)
 
     def controls_for(self, table_id: str, reader: Reader) -> list[Control]:
-        rows = self.controls(reader, table_id).limit(MAX_CONTROLS_PER_TABLE + 1).collect()
-        if len(rows) > MAX_CONTROLS_PER_TABLE:
-            raise ValueError(f"more than {MAX_CONTROLS_PER_TABLE} controls on {table_id}")
-        return [Control(r["kind"], r["function"], (r["column_name"],), r["origin"]) for r in rows]
+        """One table's controls, with all argument columns. They come to the driver to build
+        Column expressions; without conflicts there are at most as many as columns."""
+        self.check_policies()
+        rows = self.controls(reader, table_id, arguments=True).collect()
+        return [Control(r["kind"], r["function"], tuple(r["columns"]), r["origin"]) for r in rows]
+
+    def check_policies(self) -> None:
+        """Raise if a policy's condition is not governed (T4): leaving the policy out would
+        show what it hides. Tested once per policy and vocabulary relation."""
+        if self._checked is not (seen := self.policies) or self._checked_vocab is not self.vocab:
+            TG.validate_policies(self.policies, self.vocab)
+            self._checked, self._checked_vocab = seen, self.vocab
 
     def protect_table(self, table_id: str, df: DataFrame, reader: Reader) -> DataFrame:
         """Resolve the controls of this table for this reader, then protect. Call per read:
         the control set is fixed when the DataFrame is built, entitlements are not."""
+        reader = reader.fresh()
         return protect(df, self.controls_for(table_id, reader), reader, self.functions)
 
     def materialize(self, folder: str, partitions: int | None = None) -> "Governance":
@@ -106,14 +113,14 @@ class Governance:
                        write(ct, "column_tags", ["table_id", "column_name"]),
                        write(tt, "table_tags", ["table_id"]), self.vocab, self.policies,
                        write(self.manual, "manual_controls", ["table_id"]), self.functions)
-        g._valid, g._valid_src = self._valid, self._valid_src
+        g._valid, g._valid_src, g._checked, g._checked_vocab = self._valid, self._valid_src, self._checked, self._checked_vocab
         return g
 
     def with_tags(self, rows: DataFrame) -> "Governance":
         """A new table or column tagged later (P9): same policies, more tag rows."""
         g = Governance(self.securables, self.column_tags.unionByName(rows), self.table_tags, self.vocab,
                        self.policies, self.manual, self.functions)
-        g._valid, g._valid_src = self._valid, self._valid_src
+        g._valid, g._valid_src, g._checked, g._checked_vocab = self._valid, self._valid_src, self._checked, self._checked_vocab
         return g
 
 

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import masks as M
-from ..functions.predicates import group_predicate, scope_literal_predicate, scope_predicate
+from ..functions.predicates import group_predicate, scope_bucket_predicate, scope_literal_predicate
 from ..operators import entitlements as E
-from ..sources.metadata import ALL_SCOPE, FILTER, MASK
+from ..sources.metadata import FILTER, MASK
 
 
 class Reader:
@@ -48,7 +48,7 @@ class Reader:
         self._groups: list[str] | None = None
         self._raw_col: Column | None = None
         self._scopes_col: Column | None = None
-        self._stats: tuple[int, bool] | None = None
+        self._raw: bool | None = None
         self._scope_list: list[str] | None = None
 
     @classmethod
@@ -60,9 +60,12 @@ class Reader:
         return cls(who, entitlements, memberships, **kw)
 
     def live(self) -> "Reader":
-        r = Reader(self.principal, self.entitlements, self.memberships, self.max_scope_literal, snapshot=False)
-        r._groups = self._groups
-        return r
+        return Reader(self.principal, self.entitlements, self.memberships, self.max_scope_literal, snapshot=False)
+
+    def fresh(self) -> "Reader":
+        """The same reader with nothing resolved yet: rights are looked up anew for every
+        protected DataFrame, so a grant or a revocation counts from the next read on."""
+        return Reader(self.principal, self.entitlements, self.memberships, self.max_scope_literal, self.snapshot)
 
     def _need_ent(self) -> DataFrame:
         if self.entitlements is None:
@@ -70,42 +73,36 @@ class Reader:
         return self.entitlements
 
     def _resolve(self) -> None:
-        """One job: the reader's distinct (scope, raw) pairs, at most max_scope_literal + 1
-        of them reach the driver. Beyond the bound the scopes stay distributed and the raw
-        flag comes from an aggregate."""
+        """One job: the reader's distinct (scope, raw) pairs. A literal list is made of them up
+        to max_scope_literal scopes; beyond it the scopes stay in a scalar subquery and the raw
+        flag comes from an aggregate. A scope has three flags at most (true, false, NULL)."""
         mine = self._need_ent().where(F.col("principal") == F.lit(self.principal))
-        cap = 2 * self.max_scope_literal + 2   # a scope appears with at most two flags
+        cap = 3 * self.max_scope_literal + 3
         pairs = mine.select("scope", "can_view_raw").distinct().limit(cap + 1).collect()
         scopes = sorted({r[0] for r in pairs if r[0] is not None})
         if len(pairs) <= cap and len(scopes) <= self.max_scope_literal:
-            self._stats = (len(scopes), any(bool(r[1]) for r in pairs))
-            self._scope_list = scopes
+            self._raw, self._scope_list = any(bool(r[1]) for r in pairs), scopes
         else:
-            raw = mine.agg(F.coalesce(F.bool_or("can_view_raw"), F.lit(False))).first()[0]
-            self._stats = (self.max_scope_literal + 1, bool(raw))
-
-    def stats(self) -> tuple[int, bool]:
-        """(number of distinct scopes, capped; raw allowed) for this reader."""
-        if self._stats is None:
-            self._resolve()
-        return self._stats
+            self._raw = bool(mine.agg(F.coalesce(F.bool_or("can_view_raw"), F.lit(False))).first()[0])
+            self._scope_list = None
 
     def scope_list(self) -> list[str] | None:
         """The resolved scope set, or None when it is larger than max_scope_literal."""
-        if self._stats is None:
+        if self._raw is None:
             self._resolve()
         return self._scope_list
 
     def allowed_raw(self) -> Column:
         if self.snapshot:
-            return F.lit(self.stats()[1])
+            self.scope_list()
+            return F.lit(self._raw)
         if self._raw_col is None:
             self._raw_col = E.allowed_raw(self._need_ent(), self.principal)
         return self._raw_col
 
     def scopes(self) -> Column:
         if self._scopes_col is None:
-            self._scopes_col = E.scopes(self._need_ent(), self.principal)
+            self._scopes_col = E.scope_buckets(self._need_ent(), self.principal)
         return self._scopes_col
 
     def groups(self) -> list[str]:
@@ -136,28 +133,17 @@ def predicate_filter(pred: Callable[[Reader, list[Column]], Column]) -> FilterFn
 def scope_filter(reader: Reader, df: DataFrame, cols: list[str]) -> DataFrame:
     """F1 on the first argument column.
 
-    Snapshot reader: ``col IN (<scopes>)`` (no filter when the set holds ALL). Live
-    reader: ``arrays_overlap(<scalar subquery>, array(col, 'ALL'))``. Either way one
-    Filter that Spark merges ahead of a user's predicate, so a hidden row never reaches
-    user code. The scope set is one reader's rows, but its size is still checked; beyond
-    ``max_scope_literal`` scopes the set stays distributed and is applied as an equi semi
-    join (shuffle or broadcast chosen by AQE from real sizes). That form is documented as
-    weaker: Spark may push a user predicate below a join.
+    Snapshot reader: ``col IN (<scopes>)`` (no filter when the set holds ALL) up to
+    ``max_scope_literal`` scopes. Live reader, and a snapshot reader with more: one lookup in
+    the bucketed scope set of a scalar subquery. Every form is a single Filter that Spark
+    keeps ahead of a user's predicate, so a hidden row never reaches user code; none is a
+    join, below which a user predicate could be pushed.
     """
-    ent = reader._need_ent()
     value = df[cols[0]]
-    if reader.snapshot:
-        scopes = reader.scope_list()
-        if scopes is not None:
-            pred = scope_literal_predicate(value, scopes)
-            return df if pred is None else df.filter(pred)
-    elif reader.stats()[0] <= reader.max_scope_literal:
-        return df.filter(scope_predicate(value, reader.scopes()))
-    mine = ent.where(F.col("principal") == F.lit(reader.principal))
-    if mine.where(F.col("scope") == ALL_SCOPE).limit(1).count() > 0:
-        return df
-    keys = mine.select(F.col("scope").alias("__scope")).distinct()
-    return df.join(keys, value == keys["__scope"], "left_semi")
+    if reader.snapshot and (scopes := reader.scope_list()) is not None:
+        pred = scope_literal_predicate(value, scopes)
+        return df if pred is None else df.filter(pred)
+    return df.filter(scope_bucket_predicate(value, reader.scopes(), E.scope_bucket))
 
 
 def group_filter(prefix: str, admin_group: str | None = None) -> FilterFn:
@@ -218,6 +204,10 @@ class ControlConflict(ValueError):
     pass
 
 
+class UnknownControl(ValueError):
+    pass
+
+
 def _as_controls(controls: Iterable) -> list[Control]:
     out = []
     for c in controls:
@@ -242,10 +232,15 @@ def protect(df: DataFrame, controls: Iterable, reader: Reader,
             functions: Functions | None = None) -> DataFrame:
     """Filters first, on raw values; then masks, keeping name, position and type.
 
-    Two masks on one column or two filters on one table raise ControlConflict.
+    Two masks on one column or two filters on one table raise ControlConflict; a control of
+    an unknown kind raises, since skipping it would show what it hides.
     """
     fx = functions or default_functions()
+    reader = reader.fresh()
     ctl = _as_controls(controls)
+    for c in ctl:
+        if c.kind not in (FILTER, MASK):
+            raise UnknownControl(f"control of kind {c.kind!r}: {c}")
     filters = [c for c in ctl if c.kind == FILTER]
     mask_ctl = [c for c in ctl if c.kind == MASK]
     if len(filters) > 1:

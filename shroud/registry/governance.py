@@ -40,7 +40,7 @@ CTL_SQL = """SELECT table_id, column_name, kind, function, 'manual' AS origin FR
 
 def gov(spark, sf) -> Governance:
     return Governance(es.securables(spark, sf), es.column_tags(spark, sf), es.table_tags(spark, sf),
-                      es.vocab(spark), es.policies(spark), es.manual_controls(spark, sf))
+                      es.vocab(spark), P.valid_policies(es.policies(spark), es.vocab(spark)), es.manual_controls(spark, sf))
 
 
 def _reader(spark, sf, who):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.masks import EMAIL_HIDDEN_TEXT, ID_MASK_TEXT
 from ..operators.classify import extract_all
 from ..operators import entitlements as E
+from ..operators import policies as P
 from ..plans.protect import (Control, Reader, default_functions, export_protected, group_constant_mask,
                              group_filter, protect, protected_view)
 from ..session import shared_dir
@@ -231,19 +232,12 @@ def manual_controls(spark) -> DataFrame:
     return literal(spark, rows, md.MANUAL_CONTROLS)
 
 
-def detach(controls: DataFrame, removed: DataFrame) -> DataFrame:
-    """Drop attached controls (match on table, kind and the first column)."""
-    key = [F.col("table_id"), F.col("kind"), F.element_at("columns", 1).alias("col0")]
-    return (controls.withColumn("col0", F.element_at("columns", 1))
-            .join(removed.select(*key), ["table_id", "kind", "col0"], "left_anti").drop("col0"))
-
-
 def q_control_detach(spark, sf):
     ctl = manual_controls(spark)
     removed = literal(spark, [("main.tpch.customer", md.MASK, "null_mask", ["c_acctbal"]),
                               ("main.tpch.customer", md.FILTER, "scope_filter", ["c_mktsegment"])],
                       md.MANUAL_CONTROLS)
-    left = detach(ctl, removed).where(F.col("table_id") == "main.tpch.customer").collect()
+    left = P.detach(ctl, removed).where(F.col("table_id") == "main.tpch.customer").collect()
     return protect(_cust(spark, sf), left, _reader(spark, sf, "dee"))
 
 

@@ -81,8 +81,8 @@ def apply_cluster_conf(spark: SparkSession, input_bytes: int, total_cores: int)
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    A cluster sets it to a shared file system. Only when it is unset (local tests) do
-    we pick a scratch folder of our own.
+    A cluster sets it to a shared file system, and it is an error if it does not. Only in
+    local mode (tests) do we pick a scratch folder of our own.
     """
     try:
         sc = spark.sparkContext
@@ -93,6 +93,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="shroud-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured

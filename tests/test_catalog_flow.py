@@ -1,90 +1,88 @@
-"""The lab's flow, statement by statement, through the catalog facade."""
+"""The statement facade: what each statement changes, on a catalog of stock and shop tables."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from shroud.functions.masks import ID_MASK_TEXT
 from shroud.operators.policies import PolicyNotFound
 from shroud.operators.tags import PolicyConditionError
 from shroud.plans.catalog import ProtectionCatalog
 from shroud.plans.protect import Reader
 from shroud.sources import metadata as md
 
+STOCK = [(11, "A-1", 4.5, "depot1"), (12, "B-2", None, "depot2"), (13, "C-3", 9.0, None)]
 
-def ents(spark, rows):
-    return spark.createDataFrame(rows, md.ENTITLEMENTS)
-
-
-@pytest.mark.parametrize("persist", [False, True])
-def test_lab_flow(spark, people, scratch, persist):
-    cat = ProtectionCatalog(spark, folder=f"{scratch}/catalog" if persist else None)
-    depts = spark.createDataFrame([(1, "ops", "NORTH"), (2, "sales", "SOUTH"), (3, "hr", "SOUTH")],
-                                  "dept_id int, dept_name string, region string")
-    cat.create_table("lab.hr.people", people, owner="me")
-    cat.create_table("lab.hr.depts", depts, owner="me")
-    assert cat.owner_of("lab.hr") == "me"
-
-    # grants: the full chain, inspected, then revoked
-    for priv, obj in (("USE CATALOG", "lab"), ("USE SCHEMA", "lab.hr"), ("SELECT", "lab.hr.people")):
-        cat.grant(priv, obj, md.EVERYONE)
-    assert [tuple(r) for r in cat.show_grants("lab.hr.people").collect()] == [(md.EVERYONE, "SELECT")]
-    assert [(r.grantee, r.privilege_type) for r in cat.table_privileges().collect()] == [(md.EVERYONE, "SELECT")]
-    for priv, obj in (("SELECT", "lab.hr.people"), ("USE SCHEMA", "lab.hr"), ("USE CATALOG", "lab")):
-        cat.revoke(priv, obj, md.EVERYONE)
-    assert cat.current_grants().count() == 0
-
-    # masks: not entitled (even as owner), then entitled
-    cat.set_mask("lab.hr.people", "taxno", "id_mask")
-    cat.set_mask("lab.hr.people", "pay", "null_mask")
-    rows = cat.read("lab.hr.people", Reader("me", ents(spark, []))).collect()
-    assert {r.taxno for r in rows} == {ID_MASK_TEXT} and {r.pay for r in rows} == {None} and len(rows) == 6
-    north_raw = ents(spark, [("me", "NORTH", True)])
-    rows = cat.read("lab.hr.people", Reader("me", north_raw)).orderBy("id").collect()
-    assert rows[0].taxno == "101-11-1001" and rows[0].pay == 100
-
-    # row filter by region, then widened to ALL
-    cat.set_row_filter("lab.hr.people", "scope_filter", ["area"])
-    assert [r.id for r in cat.read("lab.hr.people", Reader("me", north_raw)).orderBy("id").collect()] == [1, 2]
-    all_raw = ents(spark, [("me", "ALL", True)])
-    counts = {r.area: r.n for r in cat.read("lab.hr.people", Reader("me", all_raw))
-              .groupBy("area").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert counts == {"NORTH": 2, "SOUTH": 2, None: 1, "north": 1}
-
-    # governed tags and one policy for every column tagged pii=email
-    cat.create_governed_tag("pii", ["ssn", "email"])
-    cat.create_governed_tag("rls", ["region"])
-    cat.set_tag("lab.hr.people", "mail", "pii", "email")
-    cat.create_policy("emails_partial", "schema", "lab.hr", md.MASK, "email_partial", [md.EVERYONE], "pii", "email")
-    rows = cat.read("lab.hr.people", Reader("me", all_raw)).orderBy("id").collect()
-    assert rows[0].mail == "k****@corp.test" and rows[0].taxno == "101-11-1001"
-
-    # a new table is covered once tagged
-    contractors = spark.createDataFrame([(1, "jo.vance@north.example"), (2, "sam.ortega@north.example")],
-                                        "contractor_id int, contact_email string")
-    cat.create_table("lab.hr.contractors", contractors, owner="me")
-    cat.set_tag("lab.hr.contractors", "contact_email", "pii", "email")
-    got = [r.contact_email for r in cat.read("lab.hr.contractors", Reader("me", all_raw)).orderBy("contractor_id").collect()]
-    assert got == ["j****@north.example", "s****@north.example"]
-
-    # a row-filter policy by tag, scoped to one region
-    cat.set_tag("lab.hr.depts", "region", "rls", "region")
-    cat.create_policy("rows_by_area", "schema", "lab.hr", md.FILTER, "scope_filter", [md.EVERYONE], "rls", "region")
-    south = ents(spark, [("me", "SOUTH", True)])
-    assert [r.dept_id for r in cat.read("lab.hr.depts", Reader("me", south)).orderBy("dept_id").collect()] == [2, 3]
-    assert [r.name for r in cat.show_policies("lab.hr").collect()] == ["emails_partial", "rows_by_area"]
-
-    # an ordinary (ungoverned) key cannot be used in a policy
-    with pytest.raises(PolicyConditionError, match="PII"):
-        cat.create_policy("bad", "schema", "lab.hr", md.MASK, "redact", [md.EVERYONE], "PII", "ssn")
-
-    # cleanup: dropping a missing policy is an error; controls come off
-    cat.drop_policy("emails_partial", "lab.hr")
+
+@pytest.fixture(params=["session", "files"])
+def cat(request, spark, scratch):
+    c = ProtectionCatalog(spark, folder=f"{scratch}/log" if request.param == "files" else None)
+    c.create_table("shop.stock.items", spark.createDataFrame(STOCK, "sku int, code string, cost double, depot string"), owner="keeper")
+    return c
+
+
+def who(spark, *rows):
+    return Reader("buyer", spark.createDataFrame([("buyer", *r) for r in rows], md.ENTITLEMENTS))
+
+
+def test_ungoverned_policy_is_refused_before_anything_is_written(cat):
+    with pytest.raises(PolicyConditionError):
+        cat.create_policy("hide", "catalog", "shop", md.MASK, "redact", ["buyer"], "secrecy", "trade")
+    assert cat.policies().count() == 0
     with pytest.raises(PolicyNotFound):
-        cat.drop_policy("emails_partial", "lab.hr")
-    cat.drop_policy("rows_by_area", "lab.hr")
-    cat.drop_mask("lab.hr.people", "taxno")
-    cat.drop_mask("lab.hr.people", "pay")
-    cat.drop_row_filter("lab.hr.people")
-    assert cat.manual_controls().count() == 0 and cat.policies().count() == 0
-    rows = cat.read("lab.hr.people", Reader("me", ents(spark, []))).orderBy("id").collect()
-    assert len(rows) == 6 and rows[0].taxno == "101-11-1001" and rows[0].mail == "kim.oak@corp.test"
+        cat.drop_policy("hide", "shop")
+
+
+def test_policy_covers_a_table_tagged_after_it(spark, cat):
+    cat.create_governed_tag("secrecy", ["trade", "none"])
+    cat.create_policy("hide", "catalog", "shop", md.MASK, "null_mask", ["buyer"], "secrecy", "trade", except_=["boss"])
+    offers = spark.createDataFrame([("o1", 70.0), ("o2", 80.0)], "offer string, price double")
+    cat.create_table("shop.sales.offers", offers, owner="seller")
+    assert {r.price for r in cat.read("shop.sales.offers", who(spark)).collect()} == {70.0, 80.0}
+    cat.set_tag("shop.sales.offers", "price", "secrecy", "trade")
+    assert {r.price for r in cat.read("shop.sales.offers", who(spark)).collect()} == {None}
+    cat.set_tag("shop.sales.offers", "price", "secrecy", "none")
+    assert {r.price for r in cat.read("shop.sales.offers", who(spark)).collect()} == {70.0, 80.0}
+    assert [r.name for r in cat.show_policies("shop").collect()] == ["hide"]
+
+
+def test_filter_before_mask_and_both_come_off(spark, cat):
+    cat.set_row_filter("shop.stock.items", "scope_filter", ["depot"])
+    cat.set_mask("shop.stock.items", "Code", "id_mask")
+    seen = cat.read("shop.stock.items", who(spark, ("depot2", False))).collect()
+    assert [(r.sku, r.code == "B-2") for r in seen] == [(12, False)]
+    cat.drop_mask("shop.stock.items", "CODE")       # column names compare in any case
+    cat.drop_row_filter("shop.stock.items")
+    assert [tuple(r) for r in cat.read("shop.stock.items", who(spark)).orderBy("sku").collect()] == STOCK
+
+
+def test_last_statement_on_a_grant_wins(cat):
+    for step in (cat.grant, cat.revoke, cat.grant, cat.revoke):
+        step("SELECT", "shop.stock.items", "buyer")
+    cat.grant("MANAGE", "shop.stock", "keeper")
+    assert [(r.principal, r.privilege) for r in cat.current_grants().select("principal", "privilege").collect()] == [("keeper", "MANAGE")]
+    assert cat.table_privileges().count() == 0 and cat.owner_of("shop.stock") == "keeper"
+
+
+def test_making_a_table_again_keeps_its_controls(spark, cat):
+    cat.create_governed_tag("secrecy", ["trade"])
+    cat.set_tag("shop.stock.items", "code", "secrecy", "trade")
+    cat.create_policy("hide", "schema", "shop.stock", md.MASK, "redact", ["buyer"], "secrecy")
+    cat.create_table("shop.stock.items", spark.createDataFrame([(99, "Z-9", 1.0, "depot1")], "sku int, code string, cost double, depot string"), owner="keeper")
+    row = cat.read("shop.stock.items", who(spark)).first()
+    assert row.sku == 99 and row.code != "Z-9"
+
+
+def test_reopened_catalog_goes_on_counting(spark, scratch):
+    first = ProtectionCatalog(spark, folder=f"{scratch}/kept")
+    for name in ("a", "b", "c"):
+        first.grant("SELECT", "shop.stock.items", name)
+    again = ProtectionCatalog(spark, folder=f"{scratch}/kept")
+    again.revoke("SELECT", "shop.stock.items", "c")
+    assert sorted(r.principal for r in again.current_grants().collect()) == ["a", "b"]
+
+
+def test_unreadable_log_raises(spark, scratch):
+    import pathlib
+    log = pathlib.Path(scratch) / "broken" / "control_log"
+    log.mkdir(parents=True)
+    (log / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        ProtectionCatalog(spark, folder=f"{scratch}/broken").manual_controls().collect()

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from shroud.registry import all_oracles, all_queries
 from tools.check_oracle import TABLES, rows_multiset
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
 @pytest.fixture(scope="module")
@@ -26,11 +27,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, key):
-    df = queries()[key](spark, SF)
+    df = all_queries()[key](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], list(df.columns)
-    res = con.execute(oracle_sql()[key])
+    res = con.execute(all_oracles()[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(scols) == sorted(ocols)
