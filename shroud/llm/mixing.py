@@ -83,7 +83,7 @@ def _blocks() -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 32,
-        shard_words: int = 4_000_000, seed: int = 1, columns: list[str] | None = None) -> DataFrame:
+        shard_words: int = 200_000, seed: int = 1, columns: list[str] | None = None) -> DataFrame:
     """docs(doc_id, text, source, ...) -> the columns asked for (all), and mix_size, mix_words (of
     the source), mix_target, mix_shard, mix_passes (times the whole document is taken), mix_parts
     (word ranges taken once more), mix_taken (words taken, repeats counted)."""
