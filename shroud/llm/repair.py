@@ -155,7 +155,7 @@ def _encode(path: str, end_id: int, shard_tokens: int):
 
         for batch in batches:
             _, off = A.text_bytes(batch.column("text"))
-            for i, j in A.pieces(off, 1 << 22):
+            for i, j in A.pieces(off, min(1 << 22, 4 * shard_tokens)):
                 ids, rows = enc.encode(batch.column("text").slice(i, j - i))
                 size = np.diff(rows)
                 full = np.full(len(ids) + len(size), end_id, np.uint32)

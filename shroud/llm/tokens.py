@@ -135,7 +135,6 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
     def _slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        # A.hash_spans needs gaps without weight; bytes between units are spaces, which weigh here, so hash unit by unit sums
         h = _hash(data, start, end, self.table)
         codes, uniq = pd.factorize(h)
         at = np.searchsorted(self.known, uniq)
