@@ -42,6 +42,7 @@ from .common import Scratch
 from .graph import components
 
 CHUNK = 1 << 19  # shingles hashed at a time
+BAND_BITS = (1 << 31) - 1  # of a bucket's key that tell which bands two members share
 
 
 def shingles(word_hash: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,13 +145,16 @@ def _bayes(n_hash: int, need: list[tuple[int, int]]):
 
 
 def _cross(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1 << 18):
-    """Plausible pairs of different components and blocks of each group; rows come sorted by group."""
+    """Plausible pairs of different components and blocks of each group; rows come sorted by group.
+    A pair that shares several buckets leaves only the one of the first band it shares."""
     def pairs(t: pa.Table):
         group = [t.column(c).to_numpy() for c in ("key", "i", "j")]
         first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in group], 0)]))
         stop = np.repeat(np.append(first[1:], len(t)), np.diff(np.append(first, len(t))))
         sig, comp = _matrix(t.column("sig"), n_hash), np.frombuffer(b"".join(t.column("comp").to_pylist()), "V16")
         own, n, cut = t.column("own").to_numpy(), t.column("n_shingles").to_numpy(), group[1] != group[2]
+        bands = np.asarray(t.column("bands").combine_chunks().flatten()).reshape(len(t), -1)
+        here = (group[0] & BAND_BITS).astype(bands.dtype)
         later = stop - np.arange(len(t)) - 1
         total = np.concatenate([[0], np.cumsum(later)])
         for lo, hi in A.pieces(total, most):
@@ -159,6 +163,10 @@ def _cross(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1
             ok = (comp[a] != comp[b]) & (~cut[a] | (own[a] != own[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
             a, b = a[ok], b[ok]
             at, same = _plausible(sig, a, sig, b, need)
+            if len(at):
+                shared = (bands[a[at]] == bands[b[at]]).argmax(1)
+                once = bands[a[at], shared] == here[a[at]]
+                at, same = at[once], same[once]
             if len(at):
                 node = t.column("node").combine_chunks()
                 yield pa.RecordBatch.from_arrays([node.take(pa.array(a[at])), node.take(pa.array(b[at])), pa.array(same)], names=["a", "b", "same"])
@@ -255,11 +263,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
 
     member = bucket.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    member = member.join(mixed, "key").join(nodes.select("node", "n_shingles", "sig"), "node")
+    member = member.join(mixed, "key").join(nodes.select(
+        "node", "n_shingles", "sig", F.expr(f"transform(keys, k -> CAST(k & {BAND_BITS} AS INT))").alias("bands")), "node")
     n_blocks = F.ceil(F.col("members") / block).cast("int")
     member = member.withColumn("own", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    member = member.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n_shingles", "sig")
+    member = member.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n_shingles", "sig", "bands")
     found = scratch.write(member.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                           .mapInArrow(_cross(n_hash, need, round(threshold * 100)), "a binary, b binary, same long")
                           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "same").distinct()
