@@ -28,12 +28,26 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
     e = scratch.write(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct())
     while True:
         # a star forest has no vertex with two parents, and no parent that has a parent
-        many = e.groupBy("b").count().filter("count > 1").limit(1)
-        deep = e.select("a").distinct().join(e.select(F.col("b").alias("a")), "a", "left_semi").limit(1)
-        if not many.select(F.lit(1)).union(deep.select(F.lit(1))).take(1):
+        seen = e.select(F.col("b").alias("v"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+            e.select(F.col("a").alias("v"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        seen = seen.groupBy("v").agg(F.sum("below").alias("below"), F.sum("above").alias("above"))
+        if not seen.agg(F.max(F.expr("below > 1 or (below > 0 and above > 0)"))).head()[0]:
             break
         nxt = scratch.write(_star(_star(e, True), False))
         scratch.drop(e)
         e = nxt
     return e.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(
         e.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
+
+
+def joined(scratch: Scratch, label: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``label`` (node, comp) of the components so far, after ``edges`` (a, b) came in. Edges run
+    between the components they join, so the stars known need no contraction from the start."""
+    if label is None:
+        return components(scratch, edges)
+    if not edges.take(1):
+        return label
+    between = (edges.join(label.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
+               .join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    return components(scratch, label.filter("node > comp").select(F.col("comp").alias("a"), F.col("node").alias("b")).union(between))

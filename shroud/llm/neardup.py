@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .common import Scratch
-from .graph import components
+from .graph import joined
 
 CHUNK = 1 << 19  # shingles hashed at a time
 BAND_BITS = (1 << 31) - 1  # of a bucket's key that tell which bands two members share
@@ -227,9 +227,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
     need = least_matches(n_hash, batch, threshold, miss)
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        joined = (pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
+        signed = (pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
                   .join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b"))
-        return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(_bayes(n_hash, need), "a binary, b binary, same long")
+        return signed.select("a", "b", "sig_a", "sig_b").mapInArrow(_bayes(n_hash, need), "a binary, b binary, same long")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets reach the threshold. Only the texts of their nodes are fetched."""
@@ -247,19 +247,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
                 .join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb"))
 
-    def settle(pairs: DataFrame, links: DataFrame, label: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    def settle(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
         """Verify pairs until every one is confirmed, refuted or inside a component."""
         one = scratch.write(pairs.groupBy("b").agg(F.max(F.struct("same", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
-        links = links.union(confirmed(one)) if links is not None else confirmed(one)
-        label = components(scratch, links)
+        label = joined(scratch, label, confirmed(one))
         rest = scratch.write(apart(pairs.join(one, ["a", "b"], "left_anti"), label))
-        if rest.take(1):
-            links = links.union(confirmed(rest))
-            label = components(scratch, links)
-        return links, label
+        return joined(scratch, label, confirmed(rest)) if rest.take(1) else label
 
     star = scratch.write(bucket.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    links, label = settle(scratch.write(plausible(star)), None, None)
+    label = settle(scratch.write(plausible(star)), None)
 
     member = bucket.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
@@ -275,7 +271,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
                           .join(star, ["a", "b"], "left_anti"))
     scratch.drop(bucket)
     if found.take(1):
-        links, label = settle(found, links, label)
+        label = settle(found, label)
 
     classes = named.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left") \
         .withColumn("comp", F.coalesce("comp", "node"))

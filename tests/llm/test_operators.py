@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shroud.llm import arrays as A
 from shroud.llm import decontaminate, mixing, neardup, pii, quality, repair, rules, sharding, toxicity, url_filter
 from shroud.llm.common import Scratch
-from shroud.llm.graph import components
+from shroud.llm.graph import components, joined
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -371,6 +371,10 @@ def test_components(spark):
             comp[a] = comp[b] = min(comp[a], comp[b])
     got = {r.node: r.comp for r in components(Scratch(spark), spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: c for x, c in comp.items() if x in got} and {x for a, b in edges if a != b for x in (a, b)} == set(got)
+    label, scratch = None, Scratch(spark)
+    for part in (edges[:120], edges[120:], []):  # in steps, one of them empty
+        label = joined(scratch, label, spark.createDataFrame(part, "a long, b long"))
+    assert {r.node: r.comp for r in label.collect()} == got and label.count() == len(got)
 
 
 # ---- 9 sharding -------------------------------------------------------------------------------
