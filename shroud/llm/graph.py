@@ -10,21 +10,23 @@ from .common import Scratch
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction. Every vertex links its larger (large star) or its smaller neighbours and
-    itself (small star) to the least vertex it knows. A join on the vertex keeps a hub's
-    neighbours in rows, so Spark can split a hot vertex."""
+    itself (small star) to the least vertex it knows. A hub's neighbours stay rows, streamed past
+    its one label; repeats of a large star are left to the small star that follows."""
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))  # a: vertex, b: neighbour
         low = both.groupBy("a").agg(F.min("b").alias("lo")).withColumn("lo", F.least("lo", "a"))
-        return both.filter("b > a").join(low, "a").select(F.col("lo").alias("a"), "b").filter("a < b").distinct()
+        return both.filter("b > a").join(low, "a").select(F.col("lo").alias("a"), "b")
     low = edges.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("lo"))
     near = edges.select(F.col("b").alias("v"), F.col("a").alias("x")).join(low, "v")
-    return (near.select(F.col("lo").alias("a"), F.col("x").alias("b"))
-            .union(low.select(F.col("lo").alias("a"), F.col("v").alias("b"))).filter("a < b").distinct())
+    # the row of the least neighbour itself carries the vertex: every row stays one row
+    return near.select(F.col("lo").alias("a"), F.when(F.col("x") == F.col("lo"), F.col("v")).otherwise(F.col("x")).alias("b")).distinct()
 
 
 def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, comp): the least vertex that each vertex of ``edges`` reaches. Each round is
-    written to the shared folder; rounds grow with the logarithm of the longest path."""
+    written to the shared folder; rounds grow with the logarithm of the longest path. A reader to
+    whom a vertex without a row is its own component filters node > comp, which also drops the
+    shuffle of the second part from the plan."""
     e = scratch.write(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct())
     while True:
         # a star forest has no vertex with two parents, and no parent that has a parent

@@ -250,9 +250,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
     def settle(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
         """Verify pairs until every one is confirmed, refuted or inside a component."""
         one = scratch.write(pairs.groupBy("b").agg(F.max(F.struct("same", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
-        label = joined(scratch, label, confirmed(one))
+        label = joined(scratch, label, confirmed(one)).filter("node > comp")  # others are their own component
         rest = scratch.write(apart(pairs.join(one, ["a", "b"], "left_anti"), label))
-        return joined(scratch, label, confirmed(rest)) if rest.take(1) else label
+        return joined(scratch, label, confirmed(rest)).filter("node > comp") if rest.take(1) else label
 
     star = scratch.write(bucket.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     label = settle(scratch.write(plausible(star)), None)
