@@ -11,9 +11,12 @@
 5. Survivors are verified exactly on the full sets: first one pair a node, which joins most
    groups, then those survivors that still lie in different components.
 6. Buckets whose members are still in different components are compared whole, by signature, in
-   the memory of a task: only pairs that stay plausible leave it, for 5. So no link of a bucket is
-   lost by pairing with the least node first. A large bucket is cut into blocks of ``block``
-   members, and each pair of blocks is a group of its own, so no task holds more than two blocks.
+   the memory of a task: members with a plausible partner get their texts, and their pairs are
+   verified there on the full sets. Only links leave the task, fewer than its members. So no link of
+   a bucket is lost by pairing with the least node first, and pairs below the threshold, however many,
+   never become rows. A large bucket is cut into blocks of about ``block`` members and
+   ``block_shingles`` shingles at most, and each pair of blocks is a group of its own, so no task
+   holds more than two blocks.
    Inside a component nothing is left to test: its members are already one class.
 
 Signatures keep one byte a minhash. Bytes that agree by chance only make a pair look more alike, so
@@ -144,33 +147,34 @@ def _bayes(n_hash: int, need: list[tuple[int, int]]):
     return run
 
 
-def _cross(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1 << 18):
-    """Plausible pairs of different components and blocks of each group; rows come sorted by group.
-    A pair that shares several buckets leaves only the one of the first band it shares."""
-    def pairs(t: pa.Table):
-        group = [t.column(c).to_numpy() for c in ("key", "i", "j")]
-        first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in group], 0)]))
-        stop = np.repeat(np.append(first[1:], len(t)), np.diff(np.append(first, len(t))))
-        sig, comp = _matrix(t.column("sig"), n_hash), np.frombuffer(b"".join(t.column("comp").to_pylist()), "V16")
-        own, n, cut = t.column("own").to_numpy(), t.column("n_shingles").to_numpy(), group[1] != group[2]
-        bands = np.asarray(t.column("bands").combine_chunks().flatten()).reshape(len(t), -1)
-        here = (group[0] & BAND_BITS).astype(bands.dtype)
-        later = stop - np.arange(len(t)) - 1
-        total = np.concatenate([[0], np.cumsum(later)])
-        for lo, hi in A.pieces(total, most):
-            a = np.repeat(np.arange(lo, hi), later[lo:hi])
-            b = a + 1 + np.arange(len(a)) - (total[a] - total[lo])
-            ok = (comp[a] != comp[b]) & (~cut[a] | (own[a] != own[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
-            a, b = a[ok], b[ok]
-            at, same = _plausible(sig, a, sig, b, need)
-            if len(at):
-                shared = (bands[a[at]] == bands[b[at]]).argmax(1)
-                once = bands[a[at], shared] == here[a[at]]
-                at, same = at[once], same[once]
-            if len(at):
-                node = t.column("node").combine_chunks()
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(a[at])), node.take(pa.array(b[at])), pa.array(same)], names=["a", "b", "same"])
-
+def _pairs(t: pa.Table, n_hash: int, need: list[tuple[int, int]], percent: int, most: int):
+    """Row positions (a, b, equal bytes) of plausible pairs of different components and blocks of each
+    group, at most ``most`` tried at a time; rows come sorted by group. A pair that shares several
+    buckets counts only in the one of the first band it shares."""
+    group = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+    first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in group], 0)]))
+    stop = np.repeat(np.append(first[1:], len(t)), np.diff(np.append(first, len(t))))
+    sig, comp = _matrix(t.column("sig"), n_hash), np.frombuffer(b"".join(t.column("comp").to_pylist()), "V16")
+    own, n, cut = t.column("own").to_numpy(), t.column("n_shingles").to_numpy(), group[1] != group[2]
+    bands = np.asarray(t.column("bands").combine_chunks().flatten()).reshape(len(t), -1)
+    here = (group[0] & BAND_BITS).astype(bands.dtype)
+    later = stop - np.arange(len(t)) - 1
+    total = np.concatenate([[0], np.cumsum(later)])
+    for lo, hi in A.pieces(total, most):
+        a = np.repeat(np.arange(lo, hi), later[lo:hi])
+        b = a + 1 + np.arange(len(a)) - (total[a] - total[lo])
+        ok = (comp[a] != comp[b]) & (~cut[a] | (own[a] != own[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+        a, b = a[ok], b[ok]
+        at, same = _plausible(sig, a, sig, b, need)
+        if len(at):
+            a, b = a[at], b[at]
+            once = bands[a, (bands[a] == bands[b]).argmax(1)] == here[a]
+            if once.any():
+                yield a[once], b[once], same[once]
+
+
+def _by_group(work):
+    """Run ``work`` on tables of whole groups; rows come sorted by group."""
     def run(batches):
         held = None
         for batch in batches:
@@ -183,12 +187,56 @@ def _cross(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1
             cut = int(new[-1]) + 1 if len(new) else 0  # the last group may go on in the next batch
             held = t.slice(cut)
             if cut:
-                yield from pairs(t.slice(0, cut))
+                yield from work(t.slice(0, cut))
         if held is not None and len(held):
-            yield from pairs(held)
+            yield from work(held)
     return run
 
 
+def _partnered(n_hash: int, need: list[tuple[int, int]], percent: int, most: int = 1 << 18):
+    """The members of each group that have a plausible partner there."""
+    def work(t: pa.Table):
+        has = np.zeros(len(t), bool)
+        for a, b, _ in _pairs(t, n_hash, need, percent, most):
+            has[a] = has[b] = True
+        if has.any():
+            yield from t.filter(pa.array(has)).to_batches()
+    return _by_group(work)
+
+
+def _links(n_hash: int, need: list[tuple[int, int]], percent: int, size: int, most: int = 1 << 18):
+    """Pairs of each group whose full sets reach the threshold. Likelier pairs come first, and a pair
+    whose components an earlier one has already linked is left out, so links stay fewer than members."""
+    def work(t: pa.Table):
+        node, text, comp = t.column("node"), t.column("text"), t.column("comp").to_pylist()
+        above, sets = {}, {}
+
+        def top(c):
+            while above.get(c, c) != c:
+                above[c] = c = above.get(above[c], above[c])
+            return c
+
+        for a, b, same in _pairs(t, n_hash, need, percent, most):
+            sets = {k: v for k, v in sets.items() if k >= a[0]}  # rows before a[0] are done with
+            wanted = [int(k) for k in np.union1d(a, b) if k not in sets]
+            for i in range(0, len(wanted), 256):
+                part = wanted[i:i + 256]
+                sets.update(zip(part, text_sets(text.take(pa.array(part)).combine_chunks(), size)))
+            out = []
+            for k in np.argsort(-same, kind="stable"):
+                i, j = int(a[k]), int(b[k])
+                x, y = top(comp[i]), top(comp[j])
+                if x != y:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        above[x] = y
+                        out.append((i, j))
+            if out:
+                i, j = zip(*out)
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(i)).combine_chunks(), node.take(pa.array(j)).combine_chunks()], names=["a", "b"])
+    return _by_group(work)
+
+
 def _exact(size: int, threshold: float):
     percent = round(threshold * 100)
 
@@ -206,7 +254,7 @@ def _exact(size: int, threshold: float):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, rows: int = 6, bands: int = 40,
-                    batch: int = 40, miss: float = 1e-6, block: int = 512) -> DataFrame:
+                    batch: int = 40, miss: float = 1e-6, block: int = 512, block_shingles: int = 1 << 22) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept: one row per row of docs."""
     spark, n_hash = docs.sparkSession, rows * bands
     scratch = Scratch(spark)
@@ -219,9 +267,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
     nodes = scratch.write(sketch.filter("node is not null").groupBy("node").agg(
         F.min(F.struct("text_key", "n_shingles", "sig", "keys")).alias("x")).select("node", "x.*"))
     scratch.drop(sketch)
-    entry = nodes.select(F.explode("keys").alias("key"), "node")
-    crowd = entry.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    bucket = scratch.write(entry.join(crowd, "key"))  # only buckets with two members or more
+    entry = nodes.select(F.explode("keys").alias("key"), "node", "n_shingles")
+    crowd = entry.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles")).filter("members > 1")
+    bucket = scratch.write(entry.drop("n_shingles").join(crowd, "key"))  # only buckets with two members or more
 
     sig, text_key = nodes.select("node", "sig"), nodes.select("node", "text_key")
     need = least_matches(n_hash, batch, threshold, miss)
@@ -231,10 +279,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
                   .join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b"))
         return signed.select("a", "b", "sig_a", "sig_b").mapInArrow(_bayes(n_hash, need), "a binary, b binary, same long")
 
+    def texts(wanted: DataFrame) -> DataFrame:
+        keyed = wanted.distinct().join(text_key, "node")
+        return scratch.write(docs.select("text_key", "text").join(keyed, "text_key").dropDuplicates(["node"]).select("node", "text"))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets reach the threshold. Only the texts of their nodes are fetched."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(text_key, "node")
-        text = scratch.write(docs.select("text_key", "text").join(wanted, "text_key").dropDuplicates(["node"]).select("node", "text"))
+        text = texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         full = (pairs.select("a", "b").join(text.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
                 .join(text.withColumnsRenamed({"node": "b", "text": "text_b"}), "b"))
         out = scratch.write(full.select("a", "b", "text_a", "text_b").mapInArrow(_exact(shingle, threshold), "a binary, b binary"))
@@ -247,31 +298,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, r
                 .join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb"))
 
-    def settle(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
-        """Verify pairs until every one is confirmed, refuted or inside a component."""
-        one = scratch.write(pairs.groupBy("b").agg(F.max(F.struct("same", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
-        label = joined(scratch, label, confirmed(one)).filter("node > comp")  # others are their own component
-        rest = scratch.write(apart(pairs.join(one, ["a", "b"], "left_anti"), label))
-        return joined(scratch, label, confirmed(rest)).filter("node > comp") if rest.take(1) else label
-
     star = scratch.write(bucket.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    label = settle(scratch.write(plausible(star)), None)
+    near = scratch.write(plausible(star))
+    one = scratch.write(near.groupBy("b").agg(F.max(F.struct("same", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"))
+    label = joined(scratch, None, confirmed(one)).filter("node > comp")  # others are their own component
+    rest = scratch.write(apart(near.join(one, ["a", "b"], "left_anti"), label))
+    if rest.take(1):
+        label = joined(scratch, label, confirmed(rest)).filter("node > comp")
 
     member = bucket.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     member = member.join(mixed, "key").join(nodes.select(
         "node", "n_shingles", "sig", F.expr(f"transform(keys, k -> CAST(k & {BAND_BITS} AS INT))").alias("bands")), "node")
-    n_blocks = F.ceil(F.col("members") / block).cast("int")
+    n_blocks = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("shingles") / block_shingles)).cast("int")
     member = member.withColumn("own", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     member = member.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n_shingles", "sig", "bands")
-    found = scratch.write(member.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                          .mapInArrow(_cross(n_hash, need, round(threshold * 100)), "a binary, b binary, same long")
-                          .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "same").distinct()
-                          .join(star, ["a", "b"], "left_anti"))
+    group, percent = ["key", "i", "j"], round(threshold * 100)
+    open_ = scratch.write(member.repartition(*group).sortWithinPartitions(*group).mapInArrow(_partnered(n_hash, need, percent), member.schema))
     scratch.drop(bucket)
-    if found.take(1):
-        label = settle(found, label)
+    if open_.take(1):
+        member = open_.join(texts(open_.select("node")), "node")
+        links = member.repartition(*group).sortWithinPartitions(*group).mapInArrow(_links(n_hash, need, percent, shingle), "a binary, b binary")
+        label = joined(scratch, label, scratch.write(links)).filter("node > comp")
 
     classes = named.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left") \
         .withColumn("comp", F.coalesce("comp", "node"))
