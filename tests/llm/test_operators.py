@@ -356,6 +356,18 @@ def test_a_chain_is_one_component(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_plausible_pairs_below_the_threshold_stay_apart(spark):
+    """Pairs just below the threshold share buckets; small blocks cut them over several groups."""
+    base = [f"c{i}" for i in range(180)]
+    rows = [(i, " ".join(base + [f"p{i}_{k}" for k in range(28)])) for i in range(24)]   # 179 of 235 shared: 0.76
+    rows += [(100 + i, " ".join(base + [f"p{i}_{k}" for k in range(20)] + [f"q{i}_{k}" for k in range(8)])) for i in range(0, 24, 3)]
+    sets = {i: {tuple(w[k:k + 2]) for k in range(len(w) - 1)} for i, t in rows for w in [t.split()]}
+    want = {i: min(j for j in sets if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in sets}
+    assert len(set(want.values())) == 24
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2, block=5).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_bayes_thresholds_follow_the_posterior():
     for n, m in neardup.least_matches(240, 40, 0.8, 1e-6):
         tail = lambda k: sum(math.comb(n + 1, i) * 0.8**i * 0.2 ** (n + 1 - i) for i in range(k + 1))
