@@ -34,15 +34,14 @@ PATTERNS = {
 #: A word that holds a digit or an @ sign: what an unseen identifier may look like.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 GUARD = {"email": "@", "phone": "+"}
-STEPS = 20  # doubling steps: up to 2**20 matches of one kind in one text
 
 
 def _prefix(arr: str, op: str) -> str:
-    """Inclusive prefix combination of an array expression; op combines x and y."""
-    for k in (1 << s for s in range(STEPS)):
-        arr = (f"get(transform(array({arr}), q -> IF(size(q) <= {k}, q, transform(q, (x, i) -> "
-               f"IF(i < {k}, x, {op.replace('y', f'get(q, i - {k})')})))), 0)")
-    return arr
+    """Inclusive prefix combination of an array expression; op combines x and y. It takes as many
+    doubling steps as the array is long."""
+    step = op.replace("y", "get(q, i - shiftleft(1, s - 1))")
+    return (f"get(transform(array({arr}), whole -> IF(size(whole) < 2, whole, aggregate(sequence(1, length(bin(size(whole) - 1))), whole, "
+            f"(q, s) -> transform(q, (x, i) -> IF(i < shiftleft(1, s - 1), x, {step}))))), 0)")
 
 
 def _raw(kind: str) -> str:

@@ -287,6 +287,12 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[200].n_found == 0 and got[0].n_ip == 1
 
 
+def test_offsets_beyond_a_million_matches(spark):
+    text = "77," * (2**20 + 10) + " 4111111111111111"
+    r = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), support=10**6).first()
+    assert r.spans == f"card:{len(text) - 16}:{len(text)}" and r.n_card == 1
+
+
 # ---- 7 rules --------------------------------------------------------------------------------
 def test_rule_statistics(spark):
     texts = [None, "", " \n ", "a b c d e f a b c d e g", "x y z\nx y z\n\n\nx y z", "a " * 12, "# $ ok &| <b>\n%", "é\u00a0b c", " ".join(f"w{i % 7}" for i in range(40))]
