@@ -5,7 +5,7 @@ words before and after a seed, with the shape of what stands there, are lexical
 and instances (identifier-like tokens) form a graph, and the scores go round: a pattern's confidence
 for a kind is the part of its distinct instances that are known to be of that kind, an instance's
 score joins the confidences of its patterns (1 - product of 1 - confidence), instances above
-``accept`` become known and score the patterns of the next round. Tokens that high-confidence
+``accept`` become known and score the patterns of the next round, until a round finds none. Tokens that high-confidence
 patterns reach are added as spans of that kind; base spans stay.
 
 Positions: a pattern splits the text into gaps, and prefix sums of the lengths of gaps and matches
@@ -74,24 +74,25 @@ def _context(occ: DataFrame) -> DataFrame:
         F.concat(F.lit("> "), "shape", F.lit(" "), nxt)), lambda p: p.isNotNull()))
 
 
-def bootstrap(scratch: Scratch, occ: DataFrame, rounds: int, support: int, accept: float) -> DataFrame:
-    """occ(t, kind or null, patterns) -> (t, kind) of instances that the patterns discover."""
+def bootstrap(scratch: Scratch, occ: DataFrame, support: int, accept: float) -> DataFrame:
+    """occ(t, kind or null, patterns) -> (t, kind) of instances that the patterns discover. Rounds go
+    on until one adds nothing: what is known only grows, by instances of the input."""
     seen = occ.select("t", "kind", F.explode("patterns").alias("p")).distinct()
     edges = scratch.write(seen)
-    known = scratch.write(edges.filter("kind is not null").select("t", "kind").distinct())
-    new = known.limit(0)
-    for _ in range(rounds):
-        every = edges.groupBy("p").agg(F.count_distinct("t").alias("n"))
+    known = scratch.write(edges.filter("kind is not null").select("t", "kind", F.lit(False).alias("found")).distinct())
+    n = known.count()
+    every = scratch.write(edges.groupBy("p").agg(F.count_distinct("t").alias("n")))
+    while True:
         score = (edges.select("p", "t").distinct().join(known, "t").groupBy("p", "kind").agg(F.count(F.lit(1)).alias("pos"))
                  .filter(F.col("pos") >= support).join(every, "p").withColumn("conf", F.col("pos") / (F.col("n") + 1.0)).filter("conf >= 0.5"))
         inst = (edges.filter("kind is null").join(score.select("p", F.col("kind").alias("k"), "conf"), "p")
                 .groupBy("t", "k").agg((1 - F.exp(F.sum(F.log(1 - F.col("conf"))))).alias("score")))
         best = inst.groupBy("t").agg(F.max_by("k", F.struct("score", "k")).alias("kind"), F.max("score").alias("score")).filter(F.col("score") >= accept)
-        new = scratch.write(best.select("t", "kind").join(known, ["t", "kind"], "left_anti").union(new).distinct())
-        if not new.join(known, ["t", "kind"], "left_anti").take(1):
-            break
-        known = scratch.write(known.union(new).distinct())
-    return new
+        new = best.select("t", "kind", F.lit(True).alias("found")).join(known, ["t", "kind"], "left_anti")
+        last, known = known, scratch.write(known.union(new))
+        scratch.drop(last)
+        if n == (n := known.count()):
+            return known.filter("found").select("t", "kind")
 
 
 def _joined(spans: str) -> str:
@@ -99,7 +100,7 @@ def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat(get(array({names}), x.k), ':', x.s, ':', x.e)), ',')"
 
 
-def find_personal_data(docs: DataFrame, rounds: int = 3, support: int = 5, accept: float = 0.9) -> DataFrame:
+def find_personal_data(docs: DataFrame, support: int = 5, accept: float = 0.9) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans,
     n_found (spans that the method added)."""
     scratch = Scratch(docs.sparkSession)
@@ -126,7 +127,7 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, support: int = 5, accep
     occ = rows.select("rid", F.explode(F.expr("""concat(transform(base, v -> struct(v.k AS kind, v.s, v.e, v.t, v.before, v.after)),
         transform(free, v -> struct(CAST(NULL AS INT) AS kind, v.s, v.e, v.t, v.before, v.after)))""")).alias("v")).select("rid", "v.*")
     occ = scratch.write(_context(occ).select("rid", "kind", "s", "e", "t", "patterns"))
-    found = bootstrap(scratch, occ, rounds, support, accept)
+    found = bootstrap(scratch, occ, support, accept)
     more = (occ.filter("kind is null").select("rid", "s", "e", "t").join(found, "t").groupBy("rid")
             .agg(F.collect_list(F.struct(F.col("kind").alias("k"), "s", "e")).alias("found")))
     out = rows.join(more, "rid", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<k:int,s:bigint,e:bigint>>")))

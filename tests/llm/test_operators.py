@@ -287,6 +287,15 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[200].n_found == 0 and got[0].n_ip == 1
 
 
+def test_a_long_chain_of_patterns_is_followed_to_its_end(spark):
+    at = lambda k, t: f"{'abcdefgh'[k]}one {'abcdefgh'[k]}two {t} {'abcdefgh'[k]}end"
+    chain = [f"300.{k}.0.1" for k in range(8)]   # the pattern of a step needs the instance of the step before
+    texts = [at(k, f"10.{k}.0.{j}") for k in range(8) for j in range(5 if k == 0 else 4)]
+    texts += [at(k, chain[k]) for k in range(8)] + [at(k + 1, chain[k]) for k in range(7)]
+    got = pii.find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts) and all(r.n_found == ("300." in texts[r.doc_id]) for r in got)
+
+
 def test_offsets_beyond_a_million_matches(spark):
     text = "77," * (2**20 + 10) + " 4111111111111111"
     r = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), support=10**6).first()
