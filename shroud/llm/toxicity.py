@@ -2,10 +2,11 @@
 
 A text is the set of its terms (runs of letters and digits, lower-cased), hashed to ``dims``
 buckets. The model is w0 + sum w_i + sum_{i<j} <v_i, v_j>: the factors learn pairs, such as an insult
-next to the mention of a group, that single weights miss. Terms are screened first: those whose
-count among texts of label 1 is ``screen`` standard deviations off chance, and the ``pairs`` most
-uneven ones in any case, so that interactions of terms that tell little alone can be found. On
-these the linear part is fitted with an L1 penalty (FTRL), then weights and factors together.
+next to the mention of a group, that single weights miss. Every term has a weight and factors.
+The linear part learns first (FTRL, ``l1`` a pass over the rows). The errors it makes on rows not yet
+learned start the factors: the leading eigenvectors of the sums over pairs of terms, damped by ``l2`` for terms in
+few texts, so that pairs of terms that tell nothing alone are found in any vocabulary. Then weights
+and factors are fitted together.
 
 Fitted on at most ``most_rows`` labelled rows outside the held-out fold; every text is scored whole.
 
@@ -53,75 +54,118 @@ class Machine:
     bits: int
     w0: float
     w: np.ndarray  # dims
-    place: np.ndarray  # dims -> row of v, -1 without factors
-    v: np.ndarray
+    v: np.ndarray  # dims x factors
 
     def logit(self, idx: np.ndarray, rows: np.ndarray) -> np.ndarray:
         out = self.w0 + _row_sums(self.w[idx], rows)
-        at = self.place[idx]
-        some = at >= 0
-        if some.any():
-            r = np.concatenate([[0], np.cumsum(some)])[rows]
-            f = self.v[at[some]]
-            out += 0.5 * (_row_sums(f, r) ** 2 - _row_sums(f * f, r)).sum(1)
+        if self.v.shape[1]:
+            f = self.v[idx]
+            out += 0.5 * (_row_sums(f, rows) ** 2 - _row_sums(f * f, rows)).sum(1)
         return out
 
 
-def fit(idx: np.ndarray, rows: np.ndarray, y: np.ndarray, bits: int, factors: int, epochs: int, l1: float, screen: float, pairs: int, seed: int) -> Machine:
+PAIR_SHIFT = 0.1  # of the pair matrix, so that its greatest and not its largest eigenvalues lead
+
+
+def _slices(rows: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about a million terms."""
+    i = 0
+    while i < len(rows) - 1:
+        j = max(i + 1, int(np.searchsorted(rows, rows[i] + (1 << 20), "right")) - 1)
+        yield i, j
+        i = j
+
+
+def pair_directions(idx: np.ndarray, rows: np.ndarray, err: np.ndarray, bits: int, factors: int, l2: float, steps: int, rng: np.random.Generator) -> np.ndarray:
+    """Leading eigenvectors of the pair matrix sum_r err_r x x' / |x| without its diagonal, each term
+    scaled by the root of its count plus ``l2``: where the loss falls fastest when factors leave zero."""
+    dims = 1 << bits
+    size = np.maximum(np.diff(rows), 1)
+    weight = err / size
+    scale = 1 / np.sqrt(np.bincount(idx, np.repeat(1 / size, np.diff(rows)), dims) + l2)
+    diagonal = np.bincount(idx, np.repeat(weight, np.diff(rows)), dims) * scale * scale
+
+    def times(u: np.ndarray) -> np.ndarray:
+        su, out = u * scale[:, None], np.zeros_like(u)
+        for i, j in _slices(rows):
+            at, cut = idx[rows[i]:rows[j]], rows[i:j + 1] - rows[i]
+            part = _row_sums(su[at], cut) * weight[i:j, None]
+            for k in range(factors):
+                out[:, k] += np.bincount(at, np.repeat(part[:, k], np.diff(cut)), dims)
+        return out * scale[:, None] - u * diagonal[:, None]
+
+    u = np.linalg.qr(rng.normal(size=(dims, factors)) * (scale[:, None] < 1 / np.sqrt(l2)))[0]
+    for _ in range(steps):
+        u = np.linalg.qr(times(u) + PAIR_SHIFT * u)[0]
+    value, turn = np.linalg.eigh(u.T @ times(u))
+    return (u @ turn) * np.sqrt(np.maximum(value, 0)) * scale[:, None]
+
+
+def pair_factors(idx: np.ndarray, rows: np.ndarray, y: np.ndarray, ahead: np.ndarray, bits: int, factors: int, l2: float, steps: int, rng: np.random.Generator) -> np.ndarray:
+    """Pair directions of one half of the rows, at the lengths that fit the other half (Newton steps on
+    the log loss beside the logits ``ahead``): directions that only held by chance get length 0."""
+    half = rng.random(len(y)) < 0.5
+    err = np.where(half, y - sigmoid(ahead), 0)
+    v = pair_directions(idx, rows, err, bits, factors, l2, steps, rng)
+    v /= np.maximum(np.sqrt((v * v).sum(0) / 2), 1e-12)
+    q = np.concatenate([0.5 * (_row_sums(v[idx[rows[i]:rows[j]]], c := rows[i:j + 1] - rows[i]) ** 2 - _row_sums(v[idx[rows[i]:rows[j]]] ** 2, c))
+                        for i, j in _slices(rows)])[~half]
+    t, off, c = y[~half], ahead[~half], np.zeros(factors)
+    for _ in range(12):
+        p = sigmoid(off + q @ c)
+        c = np.maximum(0, c - 0.5 * np.linalg.solve(q.T @ (q * (p * (1 - p))[:, None]) + l2 * np.eye(factors), q.T @ (p - t) + 0.1 * l2 * c))
+    return v * np.sqrt(c)
+
+
+def fit(idx: np.ndarray, rows: np.ndarray, y: np.ndarray, bits: int, factors: int, epochs: int, l1: float, l2: float, steps: int, seed: int) -> Machine:
     dims, n, rng = 1 << bits, len(y), np.random.default_rng(seed)
     prior = (y.sum() + 0.5) / (n + 2)
     w0 = float(np.log(prior / (1 - prior)))
     z, g2, w = np.zeros(dims), np.zeros(dims), np.zeros(dims)
-    none = np.full(dims, -1, np.int32)
-    m = Machine(bits, w0, w, none, np.zeros((0, factors)))
+    m = Machine(bits, w0, w, np.zeros((dims, 0)))
     if n == 0 or y.min() == y.max():
         return m
 
-    one = np.bincount(idx, np.repeat(y, np.diff(rows)), dims)
-    both = np.bincount(idx, minlength=dims)
-    uneven = np.abs(one - both * prior) / np.sqrt(both * prior * (1 - prior) + 1)
-    active = np.union1d(np.flatnonzero(uneven >= screen), np.argsort(-uneven, kind="stable")[:pairs])
-    some = np.isin(idx, active)
-    idx, rows = idx[some], np.concatenate([[0], np.cumsum(some)])[rows]
-
     def batches():
         order = rng.permutation(n)
         for i in range(0, n, 128):
             pick = order[i:i + 128]
             cut = np.concatenate([[0], np.cumsum(rows[pick + 1] - rows[pick])])
-            yield np.concatenate([idx[rows[k]:rows[k + 1]] for k in pick]), cut, y[pick]
-
-    for _ in range(epochs):  # linear part, FTRL-proximal
-        for at, cut, t in batches():
-            err = sigmoid(m.logit(at, cut)) - t
+            yield pick, np.concatenate([idx[rows[k]:rows[k + 1]] for k in pick]), cut, y[pick]
+
+    def linear(u: np.ndarray, g: np.ndarray, l1: float) -> None:  # FTRL-proximal
+        s = (np.sqrt(g2[u] + g * g) - np.sqrt(g2[u])) / 0.3
+        z[u] += g - s * w[u]
+        g2[u] += g * g
+        w[u] = np.where(np.abs(z[u]) <= l1, 0, -(z[u] - np.sign(z[u]) * l1) / ((1 + np.sqrt(g2[u])) / 0.3))
+
+    ahead = np.zeros(n)
+    for passed in range(epochs):  # gradients add up over the passes, so the penalty does
+        for pick, at, cut, t in batches():
+            logit = m.logit(at, cut)
+            if not passed:
+                ahead[pick] = logit  # before the batch is learned
+            err = sigmoid(logit) - t
             m.w0 -= 0.05 * float(err.mean())
             u, inv = np.unique(at, return_inverse=True)
-            g = np.bincount(inv, np.repeat(err, np.diff(cut)), len(u))
-            s = (np.sqrt(g2[u] + g * g) - np.sqrt(g2[u])) / 0.3
-            z[u] += g - s * w[u]
-            g2[u] += g * g
-            w[u] = np.where(np.abs(z[u]) <= l1, 0, -(z[u] - np.sign(z[u]) * l1) / ((1 + np.sqrt(g2[u])) / 0.3))
-
-    m.place = none.copy()
-    m.place[active] = np.arange(len(active))
-    m.v = rng.normal(0, 0.01, (len(active), factors))
-    gv, gw = np.full_like(m.v, 1e-2), np.full(dims, 1e-2)
-    for _ in range(epochs):  # weights and factors together, Adagrad on the active terms
-        for at, cut, t in batches():
+            linear(u, np.bincount(inv, np.repeat(err, np.diff(cut)), len(u)), l1 * (passed + 1))
+    m.v = pair_factors(idx, rows, y, ahead, bits, factors, l2, steps, rng)
+    gv = np.full_like(m.v, 1e-2)
+    for passed in range(epochs, 2 * epochs):  # weights and factors together
+        for _, at, cut, t in batches():
             row = np.repeat(np.arange(len(t)), np.diff(cut))
-            f = m.v[m.place[at]]
+            order = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))  # of each term among the batch's, by term
+            if not len(first):
+                continue
+            u, f = at[order[first]], m.v[at]
             total = _row_sums(f, cut)
             err = sigmoid(m.logit(at, cut)) - t
             m.w0 -= 0.02 * float(err.mean())
-            u, inv = np.unique(at, return_inverse=True)
-            g = np.bincount(inv, err[row], len(u)) / len(t) + 1e-4 * w[u]
-            gw[u] += g * g
-            w[u] -= 0.05 * g / np.sqrt(gw[u])
-            p = m.place[u]
-            for k in range(factors):
-                g = np.bincount(inv, err[row] * (total[row, k] - f[:, k]), len(u)) / len(t) + 1e-3 * m.v[p, k]
-                gv[p, k] += g * g
-                m.v[p, k] -= 0.02 * g / np.sqrt(gv[p, k])
+            linear(u, np.add.reduceat(err[row[order]], first), l1 * (passed + 1))
+            g = np.add.reduceat((err[row, None] * (total[row] - f))[order], first, axis=0) / len(t) + 1e-3 * m.v[u]
+            gv[u] += g * g
+            m.v[u] -= 0.02 * g / np.sqrt(gv[u])
     return m
 
 
@@ -136,15 +180,15 @@ def _score(m: Machine):
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, bits: int = 18, factors: int = 8, epochs: int = 8, l1: float = 3.0,
-                   screen: float = 4.0, pairs: int = 64,
+def score_toxicity(docs: DataFrame, labels: DataFrame, bits: int = 18, factors: int = 8, epochs: int = 8, l1: float = 1.0,
+                   l2: float = 30.0, steps: int = 8,
                    most_rows: int = 20_000, seed: int = 2) -> DataFrame:
     """docs(doc_id, text), labels(doc_id, toxic) -> doc_id, held_out, score, predicted."""
     sample = fetch(labelled(docs, labels, "toxic", 5, 0, most_rows).mapInArrow(_features(bits), "id long, y int, terms array<int>"))
     lists = sample.column("terms").combine_chunks()
     idx = np.asarray(lists.flatten(), np.int64)
     rows = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0), np.int64))]) if len(lists) else np.zeros(1, np.int64)
-    m = fit(idx, rows, np.asarray(sample.column("y"), np.float64), bits, factors, epochs, l1, screen, pairs, seed)
+    m = fit(idx, rows, np.asarray(sample.column("y"), np.float64), bits, factors, epochs, l1, l2, steps, seed)
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text", (crc_fold("doc_id", 5) == 0).alias("held_out")).mapInArrow(
         _score(m), f"doc_id {kind}, held_out boolean, score double, predicted int")

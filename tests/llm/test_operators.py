@@ -1,6 +1,7 @@
 """Operators of shroud.llm against brute force, round trips and the cases their docstrings define."""
 
 import hashlib
+import inspect
 import math
 import random
 import re
@@ -138,6 +139,20 @@ def test_factorization_machine_learns_a_pair():
     assert (rest == (np.array(y[2000:]) > 0)).mean() > 0.9
 
 
+def test_a_neutral_pair_is_found_in_a_large_vocabulary():
+    rng, use = np.random.default_rng(1), {k: p.default for k, p in inspect.signature(toxicity.score_toxicity).parameters.items()}
+    texts, y = [], []
+    for _ in range(10_000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(" ".join(["insult"] * a + ["group"] * b + [f"w{k}" for k in rng.integers(0, 20_000, 20)]))
+        y.append(float(a != b))
+    idx, rows = toxicity.terms(pa.array(texts), use["bits"])
+    fit = {k: use[k] for k in inspect.signature(toxicity.fit).parameters if k in use}
+    m = toxicity.fit(idx[:rows[8000]], rows[:8001], np.array(y[:8000]), **fit)
+    rest = m.logit(idx[rows[8000]:], rows[8000:] - rows[8000]) > 0
+    assert (rest == (np.array(y[8000:]) > 0)).mean() > 0.85
+
+
 @pytest.mark.parametrize("score,label,mod,held", [(toxicity.score_toxicity, "toxic", 5, 0), (quality.score_quality, "quality", 3, 1)])
 def test_scores_on_held_out_rows(spark, score, label, mod, held, empty):
     rng = random.Random(7)
