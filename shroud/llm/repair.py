@@ -5,7 +5,7 @@ Documents are range-partitioned and sorted by doc_id and encoded in that order;
 new symbols, many pairs a round, until no pair is frequent; a pair never spans two documents. A
 shard's file holds the rules, the expansion length of each rule, each document's place among the
 symbols and its length in ids, and the symbols. A document is decoded alone from its own symbols;
-expansion lengths give the ids before any symbol without expanding it.
+expansion lengths give the ids before any symbol without expanding it, so reads start at any id.
 
 Files are binary payloads in a table that Spark writes to the shared folder, one row a shard, so
 any file system does and a lost executor's shards are written again. ``start`` adds the ids of all
@@ -46,11 +46,14 @@ def _frequent(seq: np.ndarray, last: np.ndarray, least: int, most: int) -> tuple
     bucket[~ok] = BUCKETS
     count = np.bincount(bucket, minlength=BUCKETS + 1)[:BUCKETS]
     bar = max(least, int(np.partition(count, -most)[-most])) if most < BUCKETS else least
-    hot = np.append(count >= bar, False)
-    at = np.flatnonzero(hot[bucket])
-    if not len(at):
-        return at, at, np.zeros(0, np.uint64)
-    pair, rank, n = np.unique(code[at], return_inverse=True, return_counts=True)
+    while True:
+        at = np.flatnonzero(np.append(count >= bar, False)[bucket])
+        if not len(at):
+            return at, at, np.zeros(0, np.uint64)
+        pair, rank, n = np.unique(code[at], return_inverse=True, return_counts=True)
+        if bar == least or n.max() >= least:
+            break
+        bar = least  # the fullest buckets held rare pairs only
     order = np.argsort(-n, kind="stable")[:most]
     order = order[n[order] >= least]
     new = np.full(len(pair), -1)
@@ -59,16 +62,14 @@ def _frequent(seq: np.ndarray, last: np.ndarray, least: int, most: int) -> tuple
     return at[rank >= 0], rank[rank >= 0], pair[order]
 
 
-def compress(ids: np.ndarray, doc_len: np.ndarray, rounds: int = 4, most: int = 4000, least: int = 24) -> bytes:
+def compress(ids: np.ndarray, doc_len: np.ndarray, most: int = 4000, least: int = 24) -> bytes:
     seq = ids.astype(np.uint32)
     base = int(seq.max(initial=0)) + 1
     size = np.asarray(doc_len, np.int64)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(size)[size > 0] - 1] = True
     pairs: list[np.ndarray] = []
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:  # every round shortens the sequence
         at, rank, pair = _frequent(seq, last, least, most)
         if not len(at):
             break
@@ -132,6 +133,16 @@ class Shard:
         """Ids of document k, from its own symbols only."""
         return self._expand(self.seq[self.ends[k - 1] if k else 0:self.ends[k]])
 
+    def read(self, start: int, n: int) -> np.ndarray:
+        """``n`` ids from position ``start`` of the shard, from the symbols that cover them only."""
+        size = np.ones(len(self.seq), np.int64)
+        big = self.seq >= self.base
+        size[big] = self.length[self.seq[big] - self.base]
+        stop = np.cumsum(size)
+        a, b = np.searchsorted(stop, start, "right"), np.searchsorted(stop, start + n)
+        skip = start - int(stop[a - 1] if a else 0)
+        return self._expand(self.seq[a:b + 1])[skip:skip + n]
+
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         return self._expand(self.seq), self.doc_len.astype(np.int64)
 

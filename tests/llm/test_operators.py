@@ -456,6 +456,22 @@ def test_grammar_round_trip():
     assert (repair.Shard(repair.compress(run, np.array([1000]))).documents()[0] == run).all()
 
 
+def test_grammar_leaves_no_frequent_pair_and_reads_anywhere():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 3000, 400)
+    docs = [np.concatenate([rng.integers(0, 3000, 20), passage]) for _ in range(60)]
+    ids, size = np.concatenate(docs).astype(np.uint32), np.array([len(d) for d in docs])
+    shard = repair.Shard(repair.compress(ids, size))
+    inner = np.ones(len(shard.seq), bool)
+    inner[shard.ends - 1] = False
+    pair = np.stack([shard.seq[:-1], shard.seq[1:]], 1)[inner[:-1]]
+    assert np.unique(pair, axis=0, return_counts=True)[1].max() < 24 and shard.length.max() > 16
+    assert (shard.documents()[0] == ids).all()
+    for a in [0, len(ids) - 7, *rng.integers(0, len(ids) - 900, 30)]:
+        n = min(900, len(ids) - a)
+        assert (shard.read(int(a), int(n)) == ids[a:a + n]).all()
+
+
 def test_ids_equal_the_library(spark, corpus, empty):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
