@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, dialogue, mixing, neardup, pii, quality, repair, rules, sharding, toxicity, url_filter
+from . import decontaminate, dialogue, lattice, mixing, neardup, pii, quality, repair, rules, sharding, toxicity, url_filter
 from .common import Scratch, table
 
 
@@ -59,12 +59,17 @@ def op9_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "slot", "shard")
 
 
+def op11_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return lattice.score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.repair_report(table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_toxicity, op3_url_cascade, op4_quality, op5_decontaminate, op6_personal_data, op7_quality_rules,
-                                   op8_near_duplicates, op9_shard_lookup, op10_repair_ids, op13_repair_conversations)}
+                                   op8_near_duplicates, op9_shard_lookup, op10_repair_ids, op11_lattice_score, op13_repair_conversations)}
 ORACLES = {
     "op3_url_cascade": r"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
