@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,63 +146,71 @@ class Lattice:
         size = np.array([len(w) + 1 for w in words], np.int64)
         data = np.frombuffer(b"".join(b" " + w for w in words), np.uint8)
         start = np.cumsum(size) - size
-        left = np.repeat(start + size, size) - np.arange(len(data))
-        found = list(self.arcs(data, left))
-        cost = np.full((len(self.lengths), len(data)), NEVER)
+        word = np.repeat(np.arange(len(words)), size)
+        byte = np.arange(len(data)) - start[word]
+        # words of equal length lie side by side: node i of all of them, then node i + 1 of all of them
+        order = np.argsort(size, kind="stable")
+        sizes, first, many = np.unique(size[order], return_index=True, return_counts=True)
+        group = np.searchsorted(sizes, size)
+        lane = np.empty(len(words), np.int64)
+        lane[order] = np.arange(len(words)) - np.repeat(first, many)
+        base = np.cumsum(many * (sizes + 1)) - many * (sizes + 1)
+        node = base[group[word]] + byte * many[group[word]] + lane[word]
+        slot = (np.cumsum(sizes) - sizes)[group[word]] + byte  # byte i of a group
+        n_nodes = int((many * (sizes + 1)).sum())
+        found = list(self.arcs(data, size[word] - byte))
+        cost, on = np.full((len(found), n_nodes), NEVER), []
         for k, (_, at, piece) in enumerate(found):
-            cost[k, at] = logp[piece]
-        node = start + np.arange(len(words))  # a word has one node more than bytes
-        alpha, beta = np.full(len(data) + len(words), NEVER), np.full(len(data) + len(words), NEVER)
-        alpha[node] = beta[node + size] = 0.0
-        for n in np.unique(size):
-            if n > MATRIX:
-                continue
-            of = np.flatnonzero(size == n)
-            s, m = start[of], node[of]
-            for j in range(1, n + 1):
-                alpha[m + j] = self._logsum([alpha[m + j - w] + cost[k, s + j - w] for k, w in enumerate(self.lengths) if w <= j])
-            if counts is not None:
-                for i in range(n - 1, -1, -1):
-                    beta[m + i] = self._logsum([beta[m + i + w] + cost[k, s + i] for k, w in enumerate(self.lengths) if w <= n - i])
-        for w in np.flatnonzero(size > MATRIX):
-            self._long(cost, int(start[w]), int(size[w]), alpha, int(node[w]), True)
-            if counts is not None:
-                self._long(cost, int(start[w]), int(size[w]), beta, int(node[w]), False)
-        total = alpha[node + size]
+            cost[k, node[at]] = logp[piece]
+            on.append(np.bincount(slot[at], minlength=int(sizes.sum())) > 0)
+        alpha, beta, seen = np.full(n_nodes, NEVER), np.full(n_nodes, NEVER), 0
+        for n, m, b in zip(sizes.tolist(), many.tolist(), base.tolist()):
+            by_end, by_begin = [[] for _ in range(n + 1)], [[] for _ in range(n + 1)]
+            for k, (w, _, _) in enumerate(found):
+                for i in np.flatnonzero(on[k][seen:seen + n]).tolist():
+                    by_end[i + w].append((k, i, i))
+                    by_begin[i].append((k, i, i + w))
+            seen += n
+            for x, arcs, path in ((alpha, by_end, range(1, n + 1)), (beta, by_begin, range(n - 1, -1, -1)))[:1 if counts is None else 2]:
+                x[b + (path[0] - path.step) * m:][:m] = 0.0
+                if n > MATRIX:
+                    for lane_of in range(m):
+                        self._long(x[b + lane_of:b + (n + 1) * m:m], cost[:, b + lane_of:b + (n + 1) * m:m], arcs, path)
+                    continue
+                for j in path:
+                    if arcs[j]:
+                        x[b + j * m:b + (j + 1) * m] = self._logsum(
+                            [x[b + i * m:b + (i + 1) * m] + cost[k, b + c * m:b + (c + 1) * m] for k, c, i in arcs[j]])
+        last = base[group] + size * many[group] + lane
+        total = alpha[last]
         if counts is None:
             return total, None
         draws = np.zeros(self.size)
-        word = np.repeat(np.arange(len(words)), size)
         for n, at, piece in found:
-            of = word[at]
-            share = np.exp(alpha[at + of] + logp[piece] + beta[at + of + n] - total[of]) * counts[of]
+            of, a = word[at], node[at]
+            share = np.exp(alpha[a] + logp[piece] + beta[a + n * many[group[of]]] - total[of]) * counts[of]
             draws += np.bincount(piece, share, self.size)
         return total, draws
 
     @staticmethod
     def _logsum(terms: list[np.ndarray]) -> np.ndarray:
+        if len(terms) == 1:
+            return terms[0]
         x = np.stack(terms)
         top = x.max(0)
-        return top + np.log(np.exp(x - top).sum(0))
-
-    def _long(self, cost: np.ndarray, start: int, size: int, out: np.ndarray, node: int, forward: bool) -> None:
-        """One long word, byte by byte over the arcs that exist."""
-        part = cost[:, start:start + size].T
-        where = [[] for _ in range(size + 1)]
-        for i, k in zip(*np.nonzero(part > NEVER)):
-            n = self.lengths[k]
-            if forward:
-                where[i + n].append((int(i), float(part[i, k])))
-            else:
-                where[i].append((int(i) + n, float(part[i, k])))
-        value = [NEVER] * (size + 1)
-        value[0 if forward else size] = 0.0
-        for j in range(1, size + 1) if forward else range(size - 1, -1, -1):
-            terms = [value[i] + c for i, c in where[j]]
+        x -= top
+        return top + np.log(np.exp(x, out=x).sum(0))
+
+    @staticmethod
+    def _long(x: np.ndarray, cost: np.ndarray, arcs: list, path: range) -> None:
+        """One long word, byte by byte; x and cost by node."""
+        value, cost = x.tolist(), [c.tolist() for c in cost]
+        for j in path:
+            terms = [value[i] + cost[k][c] for k, c, i in arcs[j]]
             if terms:
                 top = max(terms)
                 value[j] = top + math.log(sum(math.exp(t - top) for t in terms))
-        out[node:node + size + 1] = value
+        x[:] = value
 
 
 # ---- words ------------------------------------------------------------------------------
@@ -220,15 +229,23 @@ def take_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array
     return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(flat)))
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each item's value, the distinct values, and where each is first seen."""
+    of, uniq = pd.factorize(h)
+    first = np.empty(len(uniq), np.int64)
+    first[of[::-1]] = np.arange(len(of))[::-1]
+    return of, uniq, first
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text, trains = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         for i, j in A.pieces(A.text_bytes(text)[1], 1 << 22):
             data, off = _lowered(text.slice(i, j - i))
             start, end, rows = A.word_bounds(data, off, A._SEP)
-            h = A.hash_spans(data, start, end, A._EXACT)
-            _, first, of, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            learnt = np.bincount(of, np.repeat(trains[i:j], np.diff(rows)), len(first)).astype(np.int64)
+            of, uniq, first = _distinct(A.hash_spans(data, start, end, A._EXACT))
+            n = np.bincount(of, minlength=len(uniq))
+            learnt = np.bincount(of[np.repeat(trains[i:j], np.diff(rows))], minlength=len(uniq))
             words = take_spans(data, start[first], end[first]).cast(pa.string())
             yield pa.RecordBatch.from_arrays([words, pa.array(learnt), pa.array(n.astype(np.int64))], ["word", "c", "n"])
 
@@ -319,17 +336,18 @@ def score_texts(docs: DataFrame, vocabulary_path: str, mod: int = 5, held: int =
                 part = batch.slice(i, j - i)
                 data, off = _lowered(part.column(1))
                 start, end, rows = A.word_bounds(data, off, A._SEP)
-                h = A.hash_spans(data, start, end, A._EXACT)
+                no, uniq, _ = _distinct(A.hash_spans(data, start, end, A._EXACT))
                 row = np.repeat(np.arange(j - i), np.diff(rows))
-                at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1) if len(hashes) else np.zeros(len(h), np.int64)
-                hit = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
+                at = np.searchsorted(hashes, uniq)
+                hit = np.zeros(len(uniq), bool)
+                inside = at < len(hashes)
+                hit[inside] = hashes[at[inside]] == uniq[inside]
+                hit, at = hit[no], at[no]
                 at, of = at[hit], row[hit]
-                off_head = np.flatnonzero(~hit)
-                off_head = off_head[np.lexsort((h[off_head], row[off_head]))]
-                new = np.ones(len(off_head), bool)
-                new[1:] = (np.diff(h[off_head]) != 0) | (np.diff(row[off_head]) != 0)
-                first = off_head[new]
-                n = np.diff(np.append(np.flatnonzero(new), len(off_head)))
+                rest = np.flatnonzero(~hit)
+                pair, pairs, first = _distinct(row[rest] * (len(uniq) + 1) + no[rest])
+                n = np.bincount(pair, minlength=len(pairs))
+                first = rest[first]
                 spelled = take_spans(data, start[first], end[first]).cast(pa.string())
                 offsets = np.searchsorted(row[first], np.arange(j - i + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([spelled, pa.array(n.astype(np.int64))], ["word", "n"]))
