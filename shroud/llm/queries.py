@@ -78,19 +78,21 @@ ORACLES = {
     "op12_collocations": r"""
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
     translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM t),
-i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
-f AS (SELECT lang, w[i] AS p, 1 AS k, count(*) AS a FROM i GROUP BY ALL
-      UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2, count(*) FROM i WHERE i < len(w) GROUP BY ALL
-      UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3, count(*) FROM i WHERE i + 1 < len(w) GROUP BY ALL),
+w AS (SELECT lang, row_number() OVER () AS id, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM t),
+u AS (SELECT lang, id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM w),
+i AS (SELECT lang, w, lead(w) OVER p AS x, lead(w, 2) OVER p AS y FROM u WINDOW p AS (PARTITION BY id ORDER BY i)),
+f AS (SELECT lang, w AS p, 1 AS k, count(*) AS a FROM i GROUP BY ALL
+      UNION ALL SELECT lang, w || ' ' || x, 2, count(*) FROM i WHERE x IS NOT NULL GROUP BY ALL
+      UNION ALL SELECT lang, w || ' ' || x || ' ' || y, 3, count(*) FROM i WHERE y IS NOT NULL GROUP BY ALL),
 g AS (SELECT lang, p, k, a, string_split(p, ' ') AS s FROM f WHERE a >= 10),
-cuts AS (SELECT g.lang, g.p, g.k, g.a, c.c, x.a AS l, y.a AS r, (1000000::HUGEINT * g.a * g.a) // (x.a::HUGEINT * y.a) AS score
-    FROM g JOIN (VALUES (2, 1), (3, 1), (3, 2)) c(k, c) ON g.k = c.k
-    JOIN g x ON x.lang = g.lang AND x.p = array_to_string(g.s[1:c.c], ' ') JOIN g y ON y.lang = g.lang AND y.p = array_to_string(g.s[c.c + 1:], ' ')),
+h AS (SELECT lang, p, k, a, 1 AS c, s[1] AS pl, array_to_string(s[2:], ' ') AS pr FROM g WHERE k > 1
+      UNION ALL SELECT lang, p, k, a, 2, s[1] || ' ' || s[2], s[3] FROM g WHERE k = 3),
+cuts AS (SELECT h.lang, h.p, h.k, h.a, h.c, x.a AS l, y.a AS r, (1000000::HUGEINT * h.a * h.a) // (x.a::HUGEINT * y.a) AS score
+    FROM h JOIN g x ON x.lang = h.lang AND x.p = h.pl JOIN g y ON y.lang = h.lang AND y.p = h.pr),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
 inner_of AS (SELECT lang, array_to_string(s[1:2], ' ') AS p, a FROM g WHERE k = 3 UNION ALL SELECT lang, array_to_string(s[2:3], ' '), a FROM g WHERE k = 3),
 longer AS (SELECT lang, p, max(a) AS m FROM inner_of GROUP BY ALL),
-n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+n AS (SELECT lang, count(*) AS n FROM u GROUP BY lang),
 kept AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.p)) AS rank, b.p AS phrase, b.a, b.l, b.r, b.score
     FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p WHERE o.m IS NULL OR b.k = 3 OR 100 * o.m < 50 * b.a)
 SELECT kept.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
