@@ -84,17 +84,18 @@ i AS (SELECT lang, w, lead(w) OVER p AS x, lead(w, 2) OVER p AS y FROM u WINDOW
 f AS (SELECT lang, w AS p, 1 AS k, count(*) AS a FROM i GROUP BY ALL
       UNION ALL SELECT lang, w || ' ' || x, 2, count(*) FROM i WHERE x IS NOT NULL GROUP BY ALL
       UNION ALL SELECT lang, w || ' ' || x || ' ' || y, 3, count(*) FROM i WHERE y IS NOT NULL GROUP BY ALL),
-g AS (SELECT lang, p, k, a, string_split(p, ' ') AS s FROM f WHERE a >= 10),
-h AS (SELECT lang, p, k, a, 1 AS c, s[1] AS pl, array_to_string(s[2:], ' ') AS pr FROM g WHERE k > 1
-      UNION ALL SELECT lang, p, k, a, 2, s[1] || ' ' || s[2], s[3] FROM g WHERE k = 3),
-cuts AS (SELECT h.lang, h.p, h.k, h.a, h.c, x.a AS l, y.a AS r, (1000000::HUGEINT * h.a * h.a) // (x.a::HUGEINT * y.a) AS score
-    FROM h JOIN g x ON x.lang = h.lang AND x.p = h.pl JOIN g y ON y.lang = h.lang AND y.p = h.pr),
+g AS MATERIALIZED (SELECT lang, p, k, a, string_split(p, ' ') AS s, lang || chr(10) || p AS key FROM f WHERE a >= 10),
+h AS MATERIALIZED (SELECT lang, p, k, a, 1 AS c, lang || chr(10) || s[1] AS pl, lang || chr(10) || array_to_string(s[2:], ' ') AS pr FROM g WHERE k > 1
+      UNION ALL SELECT lang, p, k, a, 2, lang || chr(10) || s[1] || ' ' || s[2], lang || chr(10) || s[3] FROM g WHERE k = 3),
+cuts AS MATERIALIZED (SELECT h.lang, h.p, h.k, h.a, h.c, x.a AS l, y.a AS r, (1000000::HUGEINT * h.a * h.a) // (x.a::HUGEINT * y.a) AS score
+    FROM h JOIN g x ON x.key = h.pl JOIN g y ON y.key = h.pr),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
-inner_of AS (SELECT lang, array_to_string(s[1:2], ' ') AS p, a FROM g WHERE k = 3 UNION ALL SELECT lang, array_to_string(s[2:3], ' '), a FROM g WHERE k = 3),
-longer AS (SELECT lang, p, max(a) AS m FROM inner_of GROUP BY ALL),
+inner_of AS (SELECT lang || chr(10) || array_to_string(s[1:2], ' ') AS key, a FROM g WHERE k = 3
+      UNION ALL SELECT lang || chr(10) || array_to_string(s[2:3], ' '), a FROM g WHERE k = 3),
+longer AS (SELECT key, max(a) AS m FROM inner_of GROUP BY ALL),
 n AS (SELECT lang, count(*) AS n FROM u GROUP BY lang),
 kept AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.p)) AS rank, b.p AS phrase, b.a, b.l, b.r, b.score
-    FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p WHERE o.m IS NULL OR b.k = 3 OR 100 * o.m < 50 * b.a)
+    FROM best b LEFT JOIN longer o ON o.key = b.lang || chr(10) || b.p WHERE o.m IS NULL OR b.k = 3 OR 100 * o.m < 50 * b.a)
 SELECT kept.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
 FROM kept JOIN n ON n.lang = kept.lang WHERE rank <= 2000""",
     "op3_url_cascade": r"""
