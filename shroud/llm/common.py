@@ -30,9 +30,9 @@ class Scratch:
         self.n += 1
         return f"{self.base}/{self.n}"
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, **options: str) -> DataFrame:
         path = self.path()
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
         return out
