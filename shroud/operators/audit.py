@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COLLAPSE_EVERY = 8
+from ..sources.written import written
 
 
 def audit_summary(access_log: DataFrame, current_tags: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -17,36 +17,88 @@ def audit_summary(access_log: DataFrame, current_tags: DataFrame, keys: Sequence
     ``access_log`` is (principal, table_id) per read. Reads are pre-aggregated per
     (principal, table) before the join, so a table read a billion times is one row per
     reader when it meets the tag side; the join then multiplies by the few tags a table
-    carries."""
+    carries. Reads are unique per (principal, table) and tags per (table, key, value), so a plain
+    count gives the tables."""
     reads = access_log.groupBy("principal", "table_id").agg(F.count(F.lit(1)).alias("n"))
     sens = (current_tags.where(F.col("key").isin(list(keys)))
             .select("table_id", F.col("key").alias("tag_key"), F.col("value").alias("tag_value")).distinct())
     return (reads.join(sens, "table_id")
             .groupBy("principal", "tag_key", "tag_value")
-            .agg(F.sum("n").alias("n_reads"), F.count_distinct("table_id").alias("n_tables")))
+            .agg(F.sum("n").alias("n_reads"), F.count(F.lit(1)).alias("n_tables")))
 
 
 def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
     """Push column tags along lineage edges to a fixpoint.
 
     ``edges`` (src_table, src_column, dst_table, dst_column); ``seed`` (table_id,
-    column_name, key, value). Semi-naive: each round joins only the facts found in the
-    previous round (the delta) with the edges and drops the facts already known. Each
-    delta is checkpointed into the shared checkpoint folder, so a round writes only what
-    it found; the known set is the union of the checkpointed deltas, collapsed into one
-    checkpoint every COLLAPSE_EVERY rounds to keep the plan narrow. Cycles end because a
-    fact is never found twice; rounds end when one finds nothing, however long a path is."""
-    cols = ["table_id", "column_name", "key", "value"]
-    e = edges.select("src_table", "src_column", "dst_table", "dst_column").distinct().checkpoint(eager=True)
-    known = seed.select(*cols).distinct().checkpoint(eager=True)
-    delta, rounds = known, 0
+    column_name, key, value). Columns and tags get numbers once; the tags of a column are
+    bits, 62 to a row, so a round moves masks and not facts.
+
+    Columns fed by one other column follow it to the column at the head of their chain: their
+    pointers double each round, so a chain of n steps, or a ring, takes about log2(n) rounds.
+    What is left are columns with several feeders; edges into them start at chain heads, and
+    only masks with new bits move on, one contracted edge a round. Last, every chain takes over
+    its head's tags. Rounds end when one adds nothing; each is a table in the shared folder."""
+    edges, seed = written(edges.distinct()), written(seed.select("table_id", "column_name", "key", "value").distinct())
+    columns, tags = _numbered(edges, seed)
+    ends = edges.select(F.struct(F.col("src_table").alias("table_id"), F.col("src_column").alias("column_name")).alias("s"),
+                        F.struct(F.col("dst_table").alias("table_id"), F.col("dst_column").alias("column_name")).alias("d"))
+    src, dst = (columns.select(F.struct("table_id", "column_name").alias(c), F.col("id").alias(f"{c}_id")) for c in "sd")
+    links = ends.join(src, "s").join(dst, "d").select(F.col("s_id").alias("src"), F.col("d_id").alias("dst"))
+    links = written(links.where(F.col("src") != F.col("dst")).distinct())
+    facts = seed.join(columns, ["table_id", "column_name"]).join(tags, ["key", "value"]).groupBy("id", "block").agg(
+        F.bit_or("bit").alias("mask"))
+    facts = written(facts)
+
+    feeders = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("src"))
+    heads, facts = _follow_chains(feeders.where(F.col("n") == 1).select(F.col("dst").alias("id"), F.col("src").alias("up")), facts)
+    joints = written(links.join(feeders.where(F.col("n") > 1).select("dst"), "dst", "left_semi"))
+    short = joints.join(heads.select(F.col("id").alias("src"), "up"), "src", "left").select(F.coalesce("up", "src").alias("src"), "dst")
+    short = written(short.where(F.col("src") != F.col("dst")).distinct())
+    delta, along = facts, joints
+    while True:
+        step = delta.join(along, delta.id == along.src).select(F.col("dst").alias("id"), "block", "mask")
+        facts, delta = _merged(facts, step)
+        if delta.isEmpty():
+            break
+        along = short
+    below = heads.join(facts.withColumnRenamed("id", "up"), "up").select("id", "block", "mask")
+    facts = facts.unionAll(below).groupBy("id", "block").agg(F.bit_or("mask").alias("mask"))
+    return (facts.join(tags, "block").where(F.col("mask").bitwiseAND(F.col("bit")) != 0).join(columns, "id")
+            .select("table_id", "column_name", "key", "value"))
+
+
+def _numbered(edges: DataFrame, seed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(table_id, column_name, id) of every column; (key, value, block, bit) of every tag of the seed."""
+    pairs = (seed.select("table_id", "column_name"), *(edges.select(
+        F.col(f"{e}_table").alias("table_id"), F.col(f"{e}_column").alias("column_name")) for e in ("src", "dst")))
+    columns = pairs[0].unionAll(pairs[1]).unionAll(pairs[2]).distinct()
+    # the numbers follow the partitions: fixed by writing them
+    columns = written(columns.withColumn("id", F.monotonically_increasing_id()))
+    tags = written(seed.select("key", "value").distinct().withColumn("id", F.monotonically_increasing_id()))
+    return columns, tags.select("key", "value", F.floor(F.col("id") / 62).alias("block"),
+                                F.expr("shiftleft(1L, cast(pmod(id, 62) AS int))").alias("bit"))
+
+
+def _merged(facts: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """facts with more masks, and the masks of those that got bits they lacked."""
+    both = facts.select("id", "block", "mask", F.col("mask").alias("old")).unionAll(more.select("id", "block", "mask", F.lit(0).cast("long")))
+    both = written(both.groupBy("id", "block").agg(F.bit_or("mask").alias("mask"), F.bit_or("old").alias("old")))
+    return both.select("id", "block", "mask"), both.where(F.col("mask") != F.col("old")).select("id", "block", "mask")
+
+
+def _follow_chains(pointers: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pointers(id, up): columns with one feeder. Returns each one's chain head (rings have none that
+    counts: their masks are complete here) and the facts after every chain took over its own tags."""
+    pointers = written(pointers.withColumn("open", F.lit(True)))
+    open_before = None
     while True:
-        step = (delta.join(e, (delta.table_id == e.src_table) & (delta.column_name == e.src_column))
-                .select(F.col("dst_table").alias("table_id"), F.col("dst_column").alias("column_name"),
-                        "key", "value").distinct())
-        new = step.join(known, cols, "left_anti").checkpoint(eager=True)
-        if new.isEmpty():
-            return known
-        known, delta, rounds = known.unionByName(new), new, rounds + 1
-        if rounds % COLLAPSE_EVERY == 0:
-            known = known.checkpoint(eager=True)
+        came = pointers.join(facts.withColumnRenamed("id", "up"), "up").select("id", "block", "mask")
+        facts, delta = _merged(facts, came)
+        above = pointers.select(F.col("id").alias("up"), F.col("up").alias("upper"), F.col("open").alias("more"))
+        pointers = written(pointers.join(above, "up", "left").select(
+            "id", F.coalesce("upper", "up").alias("up"), F.col("upper").isNotNull().alias("open")))
+        still = pointers.where("open").count()
+        if (still == open_before or not still) and delta.isEmpty():
+            return pointers.select("id", "up"), facts
+        open_before = still

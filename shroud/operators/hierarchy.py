@@ -1,8 +1,8 @@
 """Securable hierarchy and group closure, shared by policies (scope) and privileges
 (inheritance, group grants).
 
-Both are fixpoints computed as distributed joins. Each round writes a reliable checkpoint
-into the shared checkpoint folder, so the lineage stays one round deep and a lost executor
+Both are fixpoints computed as distributed joins. Each round writes a table
+into the shared folder, so the lineage stays one round deep and a lost executor
 recomputes from the last round, not from the first.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.metadata import EVERYONE
+from ..sources.written import written
 
 
 def table_paths(securables: DataFrame) -> DataFrame:
@@ -40,10 +41,6 @@ def table_ancestors(securables: DataFrame) -> DataFrame:
         F.col("ancestor_id").isNotNull())
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
 def group_closure(memberships: DataFrame) -> DataFrame:
     """(member, group_name) for direct and nested membership; cycle-safe.
 
@@ -56,13 +53,13 @@ def group_closure(memberships: DataFrame) -> DataFrame:
     direct = memberships.select("member", "group_name").where(
         F.col("member").isNotNull() & F.col("group_name").isNotNull()).distinct()
     groups = direct.select(F.col("group_name").alias("g")).distinct()
-    nested = _checkpointed(direct.join(groups, direct.member == groups.g, "left_semi")
+    nested = written(direct.join(groups, direct.member == groups.g, "left_semi")
                            .select(F.col("member").alias("via"), F.col("group_name").alias("up")))
     size = nested.count()
     while size:
         further = nested.select("via", F.col("up").alias("mid")).join(
             nested.select(F.col("via").alias("mid"), "up"), "mid").select("via", "up")
-        nested = _checkpointed(nested.unionByName(further).distinct())
+        nested = written(nested.unionByName(further).distinct())
         if (grown := nested.count()) == size:
             break
         size = grown
