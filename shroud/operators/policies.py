@@ -40,21 +40,24 @@ def applies_to(policies: DataFrame, principal: str, groups: Sequence[str]) -> Da
 
 
 def applicability(policies: DataFrame, identities: DataFrame) -> DataFrame:
-    """P3/P4 for every principal: (policy, principal). ``identities`` is
-    (principal, identity) from hierarchy.identities. The exploded policy side is small in
-    practice, and Spark broadcasts it by its measured bytes; the everyone-group, an identity
-    of every principal, is then one probe per principal instead of a hot shuffle key."""
-    to = policies.select(F.col("name").alias("policy"), F.explode("to_principals").alias("identity"))
-    ex = policies.select(F.col("name").alias("policy"), F.explode("except_principals").alias("identity"))
-    granted = identities.join(to, "identity").select("policy", "principal").distinct()
-    exempt = identities.join(ex, "identity").select("policy", "principal").distinct()
-    return granted.join(exempt, ["policy", "principal"], "left_anti")
+    """P3/P4 for every principal: (policy, scope_kind, scope_name, principal); a name may recur in
+    another scope, so a policy is told by all three. ``identities`` is (principal, identity) from
+    hierarchy.identities. The exploded policy side is small in practice, and Spark broadcasts it by
+    its measured bytes; the everyone-group, an identity of every principal, is then one probe per
+    principal instead of a hot shuffle key."""
+    key = ["policy", "scope_kind", "scope_name"]
+    named = policies.withColumnRenamed("name", "policy")
+    to, ex = (named.select(*key, F.explode(c).alias("identity")) for c in ("to_principals", "except_principals"))
+    granted = identities.join(to, "identity").select(*key, "principal").distinct()
+    exempt = identities.join(ex, "identity").select(*key, "principal").distinct()
+    return granted.join(exempt, [*key, "principal"], "left_anti")
 
 
 def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags: DataFrame,
                    paths: DataFrame) -> DataFrame:
-    """(policy, kind, function, table_id, column_name) for every column the
-    policy covers. Each tag row takes the four places its table stands in (table, schema,
+    """(policy, kind, function, table_id, column_name, columns): a mask for every
+    column the policy covers, and one row filter for every table with matching columns, which are its
+    arguments in the order of their names (``columns``; ``column_name`` is the first). Each tag row takes the four places its table stands in (table, schema,
     catalog, metastore), and policies join on place and tag key at once: a tag meets only
     policies whose scope holds it, however many schemas have a policy on the same key. WHEN
     needs the table's current tag."""
@@ -72,8 +75,11 @@ def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags:
     tt = current_ttags.select("table_id", F.col("key").alias("when_key"), F.col("value").alias("when_value"),
                               F.lit(True).alias("when_ok"))
     m = m.join(tt, ["table_id", "when_key", "when_value"], "left")
-    return (m.where(F.col("when_key").isNull() | F.col("when_ok"))
-            .select("policy", "kind", "function", "table_id", "column_name"))
+    m = m.where(F.col("when_key").isNull() | F.col("when_ok"))
+    unit = F.when(F.col("kind") == MASK, F.lower("column_name"))
+    m = m.groupBy("policy", "scope_kind", "scope_name", "kind", "function", "table_id", unit.alias("unit")).agg(
+        F.array_sort(F.collect_set("column_name")).alias("columns"))
+    return m.select("policy", "kind", "function", "table_id", F.element_at("columns", 1).alias("column_name"), "columns")
 
 
 def effective_controls(manual: DataFrame, targets: DataFrame, arguments: bool = False) -> DataFrame:
@@ -82,8 +88,7 @@ def effective_controls(manual: DataFrame, targets: DataFrame, arguments: bool =
     function (a row filter may take several)."""
     man = manual.select("table_id", F.element_at("columns", 1).alias("column_name"), "kind", "function",
                         F.lit("manual").alias("origin"), "columns")
-    pol = targets.select("table_id", "column_name", "kind", "function", F.col("policy").alias("origin"),
-                         F.array("column_name").alias("columns"))
+    pol = targets.select("table_id", "column_name", "kind", "function", F.col("policy").alias("origin"), "columns")
     out = man.unionByName(pol)
     return out if arguments else out.drop("columns")
 
@@ -110,27 +115,46 @@ def control_conflicts(controls: DataFrame) -> DataFrame:
             .select("table_id", "column_name", "kind", "n", "origins"))
 
 
-def list_policies(policies: DataFrame, scope_name: str) -> DataFrame:
-    """P10: SHOW POLICIES on one securable."""
-    return (policies.where(F.col("scope_name") == scope_name)
-            .select("name", "kind", "function", "match_key", "match_value").orderBy("name"))
+def _in_scope(scope_name: str, scope_kind: str | None) -> Column:
+    here = F.col("scope_name") == scope_name
+    return here if scope_kind is None else here & (F.col("scope_kind") == scope_kind)
+
+
+def list_policies(policies: DataFrame, scope_name: str, scope_kind: str | None = None) -> DataFrame:
+    """P10: SHOW POLICIES on one securable; without a kind, on those of any kind with that name."""
+    return (policies.where(_in_scope(scope_name, scope_kind))
+            .select("name", "scope_kind", "kind", "function", "match_key", "match_value").orderBy("name", "scope_kind"))
 
 
 class PolicyNotFound(KeyError):
     pass
 
 
-def drop_policy(policies: DataFrame, name: str, scope_name: str) -> DataFrame:
-    """Remove one policy; a missing one is an error (there is no IF EXISTS)."""
-    hit = (F.col("name") == name) & (F.col("scope_name") == scope_name)
-    if policies.where(hit).limit(1).count() == 0:
+class AmbiguousPolicy(ValueError):
+    pass
+
+
+def scope_of(policies: DataFrame, name: str, scope_name: str, scope_kind: str | None = None) -> str:
+    """The scope kind of the one policy meant. A missing one is an error; so is a name that stands on
+    securables of several kinds if no kind is given, since dropping either would unprotect it."""
+    kinds = [r[0] for r in policies.where((F.col("name") == name) & _in_scope(scope_name, scope_kind)).select("scope_kind").distinct().limit(5).collect()]
+    if not kinds:
         raise PolicyNotFound(f"policy {name} on {scope_name} does not exist")
-    return policies.where(~hit)
+    if len(kinds) > 1:
+        raise AmbiguousPolicy(f"policy {name} on {scope_name}: say which of {sorted(kinds)}")
+    return kinds[0]
+
+
+def drop_policy(policies: DataFrame, name: str, scope_name: str, scope_kind: str | None = None) -> DataFrame:
+    """Remove one policy; a missing one is an error (there is no IF EXISTS)."""
+    kind = scope_of(policies, name, scope_name, scope_kind)
+    return policies.where(~((F.col("name") == name) & _in_scope(scope_name, kind)))
 
 
 def coverage_gaps(current_tags: DataFrame, controls: DataFrame, sensitive_keys: Sequence[str]) -> DataFrame:
     """Columns carrying a sensitive tag and no mask at all: a forgotten policy, or a
-    tag no policy matches, leaves the column readable."""
-    masked = controls.where(F.col("kind") == MASK).select("table_id", "column_name").distinct()
-    sens = current_tags.where(F.col("key").isin(list(sensitive_keys)))
-    return sens.join(masked, ["table_id", "column_name"], "left_anti")
+    tag no policy matches, leaves the column readable. Column names compare in any case."""
+    unit = F.lower("column_name")
+    masked = controls.where(F.col("kind") == MASK).select("table_id", unit.alias("unit")).distinct()
+    sens = current_tags.where(F.col("key").isin(list(sensitive_keys))).withColumn("unit", unit)
+    return sens.join(masked, ["table_id", "unit"], "left_anti").drop("unit")

@@ -139,11 +139,10 @@ class ProtectionCatalog:
         self._append("table_tags", [(self._next_seq(), table_id, key, value)])
 
     def policies(self) -> DataFrame:
-        cols = [f.name for f in md.POLICIES.fields]
-        last = (self.relation("policy_log").groupBy("name", "scope_name")  # DROP names no kind
-                .agg(F.max(F.struct("seq", "op", *[c for c in cols if c not in ("name", "scope_name")])).alias("l")))
-        return last.where(F.col("l.op") == "CREATE").select(
-            *[F.col(c) if c in ("name", "scope_name") else F.col(f"l.{c}").alias(c) for c in cols])
+        cols, key = [f.name for f in md.POLICIES.fields], ("name", "scope_kind", "scope_name")
+        last = (self.relation("policy_log").groupBy(*key)
+                .agg(F.max(F.struct("seq", "op", *[c for c in cols if c not in key])).alias("l")))
+        return last.where(F.col("l.op") == "CREATE").select(*[F.col(c) if c in key else F.col(f"l.{c}").alias(c) for c in cols])
 
     def create_policy(self, name: str, scope_kind: str, scope_name: str, kind: str, function: str,
                       to: list[str], match_key: str, match_value: str | None = None,
@@ -155,14 +154,15 @@ class ProtectionCatalog:
         TG.validate_policies(self.spark.createDataFrame([row], md.POLICIES), self.relation("tag_vocab"))
         self._append("policy_log", [(self._next_seq(), "CREATE") + row])
 
-    def drop_policy(self, name: str, scope_name: str) -> None:
-        """Drop a policy; a missing one is an error (no IF EXISTS)."""
-        P.drop_policy(self.policies(), name, scope_name)
-        self._append("policy_log", [(self._next_seq(), "DROP", name, None, scope_name, None, None, None, None,
+    def drop_policy(self, name: str, scope_name: str, scope_kind: str | None = None) -> None:
+        """Drop a policy; a missing one is an error (no IF EXISTS), and so is a name that stands on
+        securables of several kinds while no kind is given."""
+        kind = P.scope_of(self.policies(), name, scope_name, scope_kind)
+        self._append("policy_log", [(self._next_seq(), "DROP", name, kind, scope_name, None, None, None, None,
                                      None, None, None, None)])
 
-    def show_policies(self, scope_name: str) -> DataFrame:
-        return P.list_policies(self.policies(), scope_name)
+    def show_policies(self, scope_name: str, scope_kind: str | None = None) -> DataFrame:
+        return P.list_policies(self.policies(), scope_name, scope_kind)
 
     # ---- reads ----------------------------------------------------------------------------
     def governance(self) -> Governance:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,6 +148,15 @@ def scope_filter(reader: Reader, df: DataFrame, cols: list[str]) -> DataFrame:
     return df.filter(scope_bucket_predicate(value, reader.scopes(), E.scope_bucket))
 
 
+def any_scope_filter(reader: Reader, df: DataFrame, cols: list[str]) -> DataFrame:
+    """F1 over several argument columns: a row is seen if the value of any of them is in scope."""
+    values = [df[c] for c in cols]
+    if reader.snapshot and (scopes := reader.scope_list()) is not None:
+        preds = [scope_literal_predicate(v, scopes) for v in values]
+        return df if any(p is None for p in preds) else df.filter(reduce(or_, preds))
+    return df.filter(reduce(or_, [scope_bucket_predicate(v, reader.scopes(), E.scope_bucket) for v in values]))
+
+
 def group_filter(prefix: str, admin_group: str | None = None) -> FilterFn:
     """F2 (with admin bypass) / F3 (without)."""
     def pred(reader: Reader, cols: list[Column]) -> Column:
@@ -189,6 +200,7 @@ def default_functions() -> Functions:
     fx.mask("email_partial", lambda r, c, t: M.mask_email(c))
     fx.mask("redact", lambda r, c, t: M.redact(c, M.REDACTED_TEXT, t))
     fx.filter("scope_filter", scope_filter)
+    fx.filter("any_scope_filter", any_scope_filter)
     return fx
 
 

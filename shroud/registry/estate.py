@@ -44,6 +44,7 @@ POLICY_ROWS = [
     ("class_email_main", "schema", "main.tpch", md.MASK, "email_partial", [E], [], None, None, "class",
      "email_address"),
 ]
+BROKEN_POLICY = "bad_key_asia7"  # its key is not governed: a read through it raises
 POLICY_COLS = [f.name for f in md.POLICIES.fields]
 POLICY_TYPES = ["VARCHAR"] * 5 + ["VARCHAR[]", "VARCHAR[]"] + ["VARCHAR"] * 4
 

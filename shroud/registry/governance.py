@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..plans.protect import Reader
 from ..sources import metadata as md
 from ..sources.tables import literal, read_table
 from . import estate as es
-from .common import ENTS_SQL, entitlements, memberships
+from .common import ENTS_SQL, entitlements, memberships, values_sql
 from ..operators.classify import extract_all
 from .protection import EMAIL_RE, email_addresses
 
@@ -26,21 +28,23 @@ VALID_SQL = """SELECT * FROM policies p
     AND (p.when_key IS NULL OR (p.when_key IN (SELECT key FROM vocab)
          AND (p.when_value IS NULL OR EXISTS (SELECT 1 FROM vocab v WHERE v.key = p.when_key AND v.allowed_value = p.when_value))))"""
 
-TARGETS_SQL = """SELECT p.name AS policy, p.kind, p.function, t.table_id, t.column_name
+TARGETS_SQL = """SELECT policy, kind, function, table_id, min(column_name) AS column_name, list_sort(list(DISTINCT column_name)) AS columns FROM (
+  SELECT p.name AS policy, p.scope_kind, p.scope_name, p.kind, p.function, t.table_id, t.column_name
   FROM valid p JOIN cur_tags t ON t.key = p.match_key AND (p.match_value IS NULL OR t.value = p.match_value)
   JOIN paths pa ON pa.table_id = t.table_id
   WHERE ((p.scope_kind = 'table' AND pa.table_id = p.scope_name) OR (p.scope_kind = 'schema' AND pa.schema_id = p.scope_name)
       OR (p.scope_kind = 'catalog' AND pa.catalog_id = p.scope_name) OR (p.scope_kind = 'metastore' AND pa.metastore_id = p.scope_name))
     AND (p.when_key IS NULL OR EXISTS (SELECT 1 FROM cur_ttags tt WHERE tt.table_id = t.table_id
-         AND tt.key = p.when_key AND tt.value = p.when_value))"""
+         AND tt.key = p.when_key AND tt.value = p.when_value))) AS m
+  GROUP BY policy, scope_kind, scope_name, kind, function, table_id, CASE WHEN kind = 'MASK' THEN lower(column_name) END"""
 
 CTL_SQL = """SELECT table_id, column_name, kind, function, 'manual' AS origin FROM manual
-  UNION ALL SELECT table_id, column_name, kind, function, policy FROM targets"""
+  UNION ALL SELECT table_id, column_name, kind, function, policy AS origin FROM targets"""
 
 
 def gov(spark, sf) -> Governance:
     return Governance(es.securables(spark, sf), es.column_tags(spark, sf), es.table_tags(spark, sf),
-                      es.vocab(spark), P.valid_policies(es.policies(spark), es.vocab(spark)), es.manual_controls(spark, sf))
+                      es.vocab(spark), es.policies(spark).where(F.col("name") != es.BROKEN_POLICY), es.manual_controls(spark, sf))
 
 
 def _reader(spark, sf, who):
@@ -114,7 +118,7 @@ SQL_POLICY_MATCH_ANY_VALUE = _sql_match("p.match_value IS NULL")
 
 def _targets_where(spark, sf, cond):
     g = gov(spark, sf)
-    return g.targets(g.valid_policies().where(cond))
+    return g.targets(g.valid_policies().where(cond)).withColumn("columns", F.array_join("columns", ","))
 
 
 def q_policy_when_table_tag(spark, sf):
@@ -127,7 +131,7 @@ def q_policy_catalog_scope(spark, sf):
 
 def _sql_targets(cond):
     return es.sql_with({"valid": f"SELECT * FROM ({VALID_SQL}) AS v0 WHERE {cond}", "targets": TARGETS_SQL},
-                       "SELECT * FROM targets")
+                       "SELECT * REPLACE (array_to_string(columns, ',') AS columns) FROM targets")
 
 
 SQL_POLICY_WHEN_TABLE_TAG = _sql_targets("when_key IS NOT NULL")
@@ -179,25 +183,46 @@ def q_coverage_gaps(spark, sf):
 
 SQL_COVERAGE_GAPS = es.sql_with({"valid": VALID_SQL, "targets": TARGETS_SQL, "ctl": CTL_SQL}, """
 SELECT * FROM cur_tags c WHERE c.key = 'pii'
-  AND NOT EXISTS (SELECT 1 FROM ctl WHERE ctl.kind = 'MASK' AND ctl.table_id = c.table_id AND ctl.column_name = c.column_name)""")
+  AND NOT EXISTS (SELECT 1 FROM ctl WHERE ctl.kind = 'MASK' AND ctl.table_id = c.table_id AND lower(ctl.column_name) = lower(c.column_name))""")
 
 
 def q_policy_list(spark, sf):
+    """P10 on every scope that has a policy, with what each policy covers."""
     g = gov(spark, sf)
-    valid = g.valid_policies()
-    counts = g.targets(valid).groupBy("policy").agg(F.count(F.lit(1)).alias("n_columns"),
-                                                    F.count_distinct("table_id").alias("n_tables"))
-    return (valid.join(counts, valid.name == counts.policy, "left")
-            .select("name", "scope_name", "kind", "function", F.coalesce("n_tables", F.lit(0)).alias("n_tables"),
-                    F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
-            .orderBy("name"))
+    covered = g.targets().groupBy(F.col("policy").alias("name")).agg(
+        F.sum(F.size("columns")).alias("n_columns"), F.count_distinct("table_id").alias("n_tables"))
+    scopes = sorted({(r.scope_name, r.scope_kind) for r in g.policies.select("scope_name", "scope_kind").collect()})
+    listed = [P.list_policies(g.policies, n, k).withColumn("scope_name", F.lit(n)) for n, k in scopes]
+    out = reduce(DataFrame.unionByName, listed).join(covered, "name", "left")
+    return out.select("name", "scope_kind", "scope_name", "kind", "function", "match_key", "match_value",
+                      F.coalesce("n_tables", F.lit(0)).alias("n_tables"), F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
 
 
 SQL_POLICY_LIST = es.sql_with({"valid": VALID_SQL, "targets": TARGETS_SQL}, """
-SELECT v.name, v.scope_name, v.kind, v.function,
+SELECT v.name, v.scope_kind, v.scope_name, v.kind, v.function, v.match_key, v.match_value,
        (SELECT count(DISTINCT table_id) FROM targets t WHERE t.policy = v.name) AS n_tables,
-       (SELECT count(*) FROM targets t WHERE t.policy = v.name) AS n_columns
-FROM valid v ORDER BY v.name""")
+       (SELECT coalesce(CAST(sum(len(columns)) AS BIGINT), 0) FROM targets t WHERE t.policy = v.name) AS n_columns
+FROM valid v""")
+
+
+SAME_NAME = [("twice", "schema", "main.tpch", md.MASK, "redact", ["analysts", "Customer#000000008"], ["Customer#000000007"], None, None, "pii", None),
+             ("twice", "catalog", "europe", md.MASK, "redact", ["Customer#000000007", md.EVERYONE], ["Customer#000000008"], None, None, "pii", None)]
+
+
+def q_policy_same_name(spark, sf):
+    """One name in two scopes; who is exempt in one is covered in the other."""
+    ids = H.identities(memberships(spark, sf), es.principals(spark, sf))
+    return P.applicability(literal(spark, SAME_NAME, md.POLICIES), ids)
+
+
+def q_policy_filter_two_columns(spark, sf):
+    """P2 + F4: a row-filter policy whose tag stands on two columns gets both as arguments."""
+    g = gov(spark, sf)
+    rows = [("by_segment_or_name", "schema", "main.tpch", md.FILTER, "any_scope_filter", [md.EVERYONE], [], None, None, "rls", "segment")]
+    g.policies = literal(spark, rows, md.POLICIES)
+    g = g.with_tags(literal(spark, [(20, "main.tpch.customer", "c_name", "rls", "segment")], md.COLUMN_TAGS))
+    customer = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return g.protect_table("main.tpch.customer", customer, _reader(spark, sf, "ana"))
 
 
 def q_policy_applies_to(spark, sf):
@@ -209,7 +234,16 @@ SQL_POLICY_APPLIES_TO = es.sql_with({"grp(reader, group_name)": GRP_SQL, "valid"
   SELECT principal, principal AS identity FROM principals
   UNION SELECT p.principal, g.group_name FROM principals p JOIN grp g ON g.reader = p.principal
   UNION SELECT principal, 'all_users' FROM principals"""}, """
-SELECT DISTINCT v.name AS policy, i.principal FROM valid v JOIN ids i ON list_contains(v.to_principals, i.identity)
+SELECT DISTINCT v.name AS policy, v.scope_kind, v.scope_name, i.principal FROM valid v JOIN ids i ON list_contains(v.to_principals, i.identity)
+WHERE NOT EXISTS (SELECT 1 FROM ids j WHERE j.principal = i.principal AND list_contains(v.except_principals, j.identity))""",
+                                    recursive=True)
+
+
+SQL_POLICY_SAME_NAME = es.sql_with({"grp(reader, group_name)": GRP_SQL, "valid": values_sql(SAME_NAME, es.POLICY_COLS, es.POLICY_TYPES), "ids": """
+  SELECT principal, principal AS identity FROM principals
+  UNION SELECT p.principal, g.group_name FROM principals p JOIN grp g ON g.reader = p.principal
+  UNION SELECT principal, 'all_users' FROM principals"""}, """
+SELECT DISTINCT v.name AS policy, v.scope_kind, v.scope_name, i.principal FROM valid v JOIN ids i ON list_contains(v.to_principals, i.identity)
 WHERE NOT EXISTS (SELECT 1 FROM ids j WHERE j.principal = i.principal AND list_contains(v.except_principals, j.identity))""",
                                     recursive=True)
 
@@ -246,6 +280,12 @@ SELECT c_custkey, '[REDACTED]' AS c_name, c_nationkey, c_acctbal, c_mktsegment F
 WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'ana' AND (e.scope = c.c_mktsegment OR e.scope = 'ALL'))"""
 
 
+SQL_POLICY_FILTER_TWO_COLUMNS = f"""
+WITH ents AS {_ENTS}
+SELECT c_custkey, c_name, c_mktsegment FROM customer c
+WHERE EXISTS (SELECT 1 FROM ents e WHERE e.principal = 'ana' AND e.scope IN (c.c_mktsegment, c.c_name, 'ALL'))"""
+
+
 def q_policy_except_principal(spark, sf):
     """P4 + M5: an admin (EXCEPT gov_admins) sees raw names and every row; another
     customer sees redacted names and only its own segment."""
@@ -342,6 +382,8 @@ QUERIES = {
     "coverage_gaps": q_coverage_gaps,
     "policy_list": q_policy_list,
     "policy_applies_to": q_policy_applies_to,
+    "policy_same_name": q_policy_same_name,
+    "policy_filter_two_columns": q_policy_filter_two_columns,
     "policy_mask_apply": q_policy_mask_apply,
     "policy_filter_apply": q_policy_filter_apply,
     "policy_except_principal": q_policy_except_principal,
@@ -364,6 +406,8 @@ ORACLES = {
     "coverage_gaps": SQL_COVERAGE_GAPS,
     "policy_list": SQL_POLICY_LIST,
     "policy_applies_to": SQL_POLICY_APPLIES_TO,
+    "policy_same_name": SQL_POLICY_SAME_NAME,
+    "policy_filter_two_columns": SQL_POLICY_FILTER_TWO_COLUMNS,
     "policy_mask_apply": SQL_POLICY_MASK_APPLY,
     "policy_filter_apply": SQL_POLICY_FILTER_APPLY,
     "policy_except_principal": SQL_POLICY_EXCEPT_PRINCIPAL,

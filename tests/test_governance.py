@@ -193,3 +193,37 @@ def test_materialized_lookup_prunes(spark, gov, people, scratch):
     later = m.with_tags(spark.createDataFrame([(99, "hr.core.people", "mail", "pii", "ssn")], md.COLUMN_TAGS))
     got = later.protect_table("hr.core.people", people, reader(spark, "ann")).orderBy("id").first()
     assert got.mail == REDACTED_TEXT
+
+
+def test_applicability_keeps_policies_of_one_name_apart(spark):
+    rows = [("p", "schema", "a.x", "MASK", "redact", ["u1"], ["u2"], None, None, "k", None),
+            ("p", "schema", "a.y", "MASK", "redact", ["u2"], ["u1"], None, None, "k", None)]
+    ids = spark.createDataFrame([("u1", "u1"), ("u2", "u2")], "principal string, identity string")
+    got = {(r.scope_name, r.principal) for r in P.applicability(spark.createDataFrame(rows, md.POLICIES), ids).collect()}
+    assert got == {("a.x", "u1"), ("a.y", "u2")}
+
+
+def test_drop_needs_the_kind_where_a_name_is_ambiguous(spark):
+    rows = [("p", "schema", "shop", "MASK", "redact", ["u1"], [], None, None, "k", None),
+            ("p", "catalog", "shop", "MASK", "redact", ["u1"], [], None, None, "k", None)]
+    both = spark.createDataFrame(rows, md.POLICIES)
+    with pytest.raises(P.AmbiguousPolicy):
+        P.drop_policy(both, "p", "shop")
+    assert [r.scope_kind for r in P.drop_policy(both, "p", "shop", "schema").collect()] == ["catalog"]
+    assert P.list_policies(both, "shop").count() == 2 and P.list_policies(both, "shop", "catalog").count() == 1
+
+
+def test_filter_policy_takes_all_matched_columns(spark):
+    tags = spark.createDataFrame([("c.s.t", "b", "rls", "x"), ("c.s.t", "A", "rls", "x"), ("c.s.u", "z", "rls", "x")],
+                                 "table_id string, column_name string, key string, value string")
+    paths = spark.createDataFrame([(f"c.s.{t}", "c.s", "c", "m") for t in "tu"], "table_id string, schema_id string, catalog_id string, metastore_id string")
+    none = spark.createDataFrame([], "table_id string, key string, value string")
+    pol = spark.createDataFrame([("f", "schema", "c.s", "FILTER", "any_scope_filter", ["all_users"], [], None, None, "rls", "x")], md.POLICIES)
+    got = {(r.table_id, r.column_name, tuple(r.columns)) for r in P.policy_targets(pol, tags, none, paths).collect()}
+    assert got == {("c.s.t", "A", ("A", "b")), ("c.s.u", "z", ("z",))}
+
+
+def test_coverage_gap_compares_names_in_any_case(spark):
+    tags = spark.createDataFrame([("t", "mail", "pii", "email"), ("t", "other", "pii", "email")], "table_id string, column_name string, key string, value string")
+    controls = spark.createDataFrame([("t", "MAIL", "MASK")], "table_id string, column_name string, kind string")
+    assert [r.column_name for r in P.coverage_gaps(tags, controls, ["pii"]).collect()] == ["other"]
