@@ -9,7 +9,10 @@ of a document (a quarter of the class size), and an item stands in the index wit
 its first half, so any copy has windows that start level with one of them; steps are sampled so
 that walks stay inside the shortest such part. The sampled words are compared one after the other, so nearly all windows are out
 after the first ones. How many repetitions a class needs for the target recall is measured on the
-items themselves, with random edits up to the limit. What shares a bucket is verified exactly: the
+items themselves, with random edits up to the limit, set at random places in running text. Items
+below ``SHORT`` words, and classes that miss the target after ``most_reps`` repetitions, are searched
+exactly instead: e edits leave one of e + 1 parts of an item as it was, so every window that equals
+a part is a candidate, and none is lost. What shares a bucket is verified exactly: the
 least edit distance, in words, of the item to any part of the text around the window must be at
 most ``max_edit`` times the item's length.
 
@@ -34,6 +37,7 @@ from . import arrays as A
 
 PAD = np.uint64(0x5851F42D4C957F2D)
 CHUNK = 1 << 18  # words whose windows are walked at a time
+SHORT = 8  # items of fewer words leave no room for a walk
 SPAN = "array<struct<item_id:bigint,start_word:bigint,end_word:bigint,distance:int>>"
 
 _SEP = np.array([not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in range(256)])
@@ -93,6 +97,14 @@ def keys(s: Sampler, tok: np.ndarray, at: np.ndarray, stop: np.ndarray) -> list[
     return out
 
 
+def _spans(tok: np.ndarray, m: int) -> np.ndarray:
+    """A hash of every m words in a row."""
+    p, inv = A._power_tables(len(tok) + 1)
+    total = np.zeros(len(tok) + 1, np.uint64)
+    np.cumsum(tok * p[:len(tok)], out=total[1:])
+    return A.splitmix((total[m:] - total[:-m]) * inv[:max(0, len(tok) - m + 1)])
+
+
 def edit_window(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Least edit distance of the item to a part of the text, and that part."""
     n = len(text)
@@ -119,6 +131,7 @@ class Index:
         self.items = [(i, tok[a:b]) for i, a, b in zip(ids, rows[:-1], rows[1:]) if b > a]
         self.words = [t.tolist() for _, t in self.items]
         self.max_edit = max_edit
+        self.parts: list[tuple] = []
         self.tables: list[tuple] = []  # stride, repetitions: (sampler, sieves, keys ascending, item, start in the item)
         size = np.array([len(t) for _, t in self.items], np.int64)
         cls = np.array([int(n).bit_length() - 1 for n in size], np.int64)
@@ -126,19 +139,40 @@ class Index:
             return
         flat = np.concatenate([t for _, t in self.items])
         at = np.cumsum(size) - size
-        for c in np.unique(cls):
+        exact = np.flatnonzero(size < SHORT).tolist()
+        for c in np.unique(cls[size >= SHORT]):
             stride = _stride(int(c))
-            of = np.flatnonzero(cls == c)
+            of = np.flatnonzero((cls == c) & (size >= SHORT))
+            n_reps = self._reps(of, int(c), recall, n_samples, most_reps, seed)
+            if n_reps is None:
+                exact += of.tolist()
+                continue
             n = _starts(int(c), size[of])
             item = np.repeat(of, n)
             start = np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
             reps = []
-            for rep in range(self._reps(of, int(c), recall, n_samples, most_reps, seed)):
+            for rep in range(n_reps):
                 s = Sampler(rep, int(c), n_samples, seed)
                 k = keys(s, flat, at[item] + start, at[item] + size[item])
                 order = np.argsort(k[-1], kind="stable")
                 reps.append((s, [self._sieve(x) for x in k], k[-1][order], item[order], start[order]))
             self.tables.append((stride, reps))
+        self.parts = self._parts(exact)
+
+    def _parts(self, exact: list[int]) -> list[tuple]:
+        """(words, sieve, keys ascending, item, offset) of the parts of which an edited copy keeps one."""
+        by_size: dict[int, list[tuple]] = {}
+        for i in exact:
+            x = self.items[i][1]
+            cut = np.linspace(0, len(x), int(self.max_edit * len(x)) + 2).astype(int)
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                by_size.setdefault(int(hi - lo), []).append((int(_spans(x, int(hi - lo))[lo]), i, int(lo)))
+        out = []
+        for m, found in sorted(by_size.items()):
+            found.sort()
+            key, item, offset = np.array([k for k, _, _ in found], np.uint64), np.array([i for _, i, _ in found]), np.array([o for _, _, o in found])
+            out.append((m, self._sieve(key), key, item, offset))
+        return out
 
     @staticmethod
     def _sieve(key: np.ndarray) -> np.ndarray:
@@ -147,8 +181,9 @@ class Index:
         out[(key >> np.uint64(48)).astype(np.int64)] = True
         return out
 
-    def _reps(self, of: np.ndarray, c: int, recall: float, n_samples: int, most: int, seed: int, trials: int = 400) -> int:
-        """Repetitions that find the wanted part of randomly edited and placed items of the class."""
+    def _reps(self, of: np.ndarray, c: int, recall: float, n_samples: int, most: int, seed: int, trials: int = 400) -> int | None:
+        """Repetitions that find the wanted part of randomly edited items of the class in running
+        text; None if ``most`` are not enough."""
         rng, stride = np.random.default_rng([seed, c, 99]), _stride(c)
         flat, a_at, a_end, a_of, b_at, b_end, b_of, n = [], [], [], [], [], [], [], 0
         for t in range(trials):
@@ -160,22 +195,25 @@ class Index:
                 y[p:p + (kind != 0)] = [w] if kind != 1 else []
             here = range(int(_starts(c, np.array(len(x)))))
             a_at += [n + o for o in here]
-            there = range(int(rng.integers(0, stride)), len(y), stride)
-            b_at += [n + len(x) + o for o in there]
             a_end += [n + len(x)] * len(here)
-            b_end += [n + len(x) + len(y)] * len(there)
+            n += len(x)
+            around = rng.integers(0, 2**63, 4 * stride + 2 * len(x), dtype=np.uint64)
+            text = np.concatenate([around[:2 * stride], np.array(y, np.uint64), around[2 * stride:]])
+            there = range(int(rng.integers(0, stride)), 2 * stride + len(y), stride)
+            b_at += [n + o for o in there]
+            b_end += [n + len(text)] * len(there)
+            n += len(text)
             a_of += [t] * len(here)
             b_of += [t] * len(there)
-            flat += [x, np.array(y, np.uint64)]
-            n += len(x) + len(y)
+            flat += [x, text]
         flat, found = np.concatenate(flat), set()
         for rep in range(most):
             s = Sampler(rep, c, n_samples, seed)
             ka, kb = (keys(s, flat, np.array(at, np.int64), np.array(end, np.int64))[-1].tolist() for at, end in ((a_at, a_end), (b_at, b_end)))
             found |= {t for t, _ in set(zip(a_of, ka)) & set(zip(b_of, kb))}
             if len(found) >= recall * trials:
-                break
-        return rep + 1
+                return rep + 1
+        return None
 
     def find(self, tok: np.ndarray, rows: np.ndarray) -> dict[int, list[tuple]]:
         """Row -> verified (item id, start, end, distance), in words of the row's text."""
@@ -198,6 +236,13 @@ class Index:
                         a, b = np.searchsorted(last, key), np.searchsorted(last, key, "right")
                         for p, x, y in zip(begin[live[b > a]], a[b > a], b[b > a]):
                             hits += [(int(i), int(p - o)) for i, o in zip(of[x:y], start[x:y])]
+            end = min(lo + CHUNK, len(tok))
+            for m, sieve, last, of, offset in self.parts:
+                key = _spans(tok[lo:min(end + m - 1, len(tok))], m)
+                on = np.flatnonzero(sieve[(key >> np.uint64(48)).astype(np.int64)])
+                a, b = np.searchsorted(last, key[on]), np.searchsorted(last, key[on], "right")
+                for p, x, y in zip(on[b > a] + lo, a[b > a], b[b > a]):
+                    hits += [(int(i), int(p - o)) for i, o in zip(of[x:y], offset[x:y])]
         out: dict[int, list[tuple]] = {}
         done: dict[tuple[int, int], int] = {}
         for i, p in sorted(set(hits)):
