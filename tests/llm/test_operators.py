@@ -344,10 +344,35 @@ def test_cutoffs_pass_the_exact_binomial_test(spark, empty):
     assert not any(got[i].r_kept for i in range(0, 2000, 5)) and all(got[i].r_kept for i, q in marks if q)
     assert all(got[5000 + i].r_kept for i in range(3)) and got[6000].r_base_failed   # too few labels: no cutoff
     stats = Scratch(spark).write(rules.statistics(docs, docs.columns))
-    n = 800
-    for r in rules.thresholds(stats, labels, 0.1, 0.05).collect():
-        cdf = sum(math.comb(n, k) * 0.025**k * 0.975 ** (n - k) for k in range(1))
-        assert r.r_cut_symbols == 0.05 and cdf <= 0.05 / (2 * sum(len(x[2]) for x in rules.RULES.values()))
+    for r in rules.thresholds(stats, labels, 0.1, 0.05).collect():  # symbols never reject a good one: the strictest level passes
+        assert (r.r_cut_symbols, r.r_labels, r.r_rejected) == (0.05, 800, 0) and math.isclose(r.r_p, 0.9**800)
+
+
+def test_levels_are_nested_and_tested_in_order(spark):
+    """The level chosen equals a plain walk over LEVELS with the exact tail summed by hand."""
+    for a, b in zip(rules.LEVELS, rules.LEVELS[1:]):
+        assert sum(a.values()) - sum(b.values()) == 1 and all(b[r] <= a[r] for r in a)
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["Oak", "ELM", "ash", "#fir", "x"]) for _ in range(40)), rng.choice(["en", "de", "xx"]), "s", 1) for i in range(1200)]
+    rows = [(i, t if rng.random() < .05 else prose(rng, 40), g, s, n) for i, t, g, s, n in rows]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, int(i % 7 > 0)) for i in range(1200) if rows[i][2] != "xx"], "doc_id long, quality int")
+    stats = Scratch(spark).write(rules.statistics(docs, docs.columns))
+    fails = {r.doc_id: r.r_n_words < 10 or 100 * r.r_n_repeat_words > 20 * r.r_n_words for r in stats.collect()}
+    rates = {r.doc_id: {k: (r[f"r_{n}"] / r[f"r_{d}"] if r[f"r_{d}"] else 0.0) for k, (n, d, _) in rules.RULES.items()} for r in stats.collect()}
+    want = {}
+    for g in ("en", "de"):
+        good = [rates[i] for i, _, lang, *_ in rows if lang == g and i % 7 and not fails[i]]
+        for t, at in enumerate(rules.LEVELS):
+            k = sum(any(x[r] > rules.RULES[r][2][at[r]] for r in at) for x in good)
+            if sum(math.comb(len(good), j) * 0.1**j * 0.9 ** (len(good) - j) for j in range(k + 1)) > 0.05 / 2:
+                break
+            want[g] = (t, k, len(good))
+    got = {r.r_stratum: (r.r_level, r.r_rejected, r.r_labels) for r in rules.thresholds(stats, labels, 0.1, 0.05).collect()}
+    assert got == want and want
+
+
+def test_rules_on_nothing(spark, empty):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert rules.judge(empty, labels).collect() == []
 
 
