@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
 Sizes are words. A source's target is its weight's share of the mix, at most ``cap`` times the
-source. The mix is cut into blocks of ``block`` words, and the blocks are dealt to sources by
-highest quotients target / (2 j - 1). A source's blocks are dealt on to its shards by the same
+source. The mix is cut into equal blocks of one word, and the blocks are dealt to sources by
+highest quotients target / (2 j - 1), so each source's quota is within a word of its target. A
+source takes its quota in runs of ``block`` words, shorter ones if it has few words. Its runs are dealt on to its shards by the same
 rule (over groups of shards first, so no group to rank exceeds the square root of the shards).
 A shard holds about ``shard_words`` words of one source; there are as many as the source needs,
 so a hot source is spread over many tasks. Within a shard, documents follow each other in seeded
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD
 
+FEW = 128  # a source has at least so many blocks, of one word if need be
 PRIMES = (2147483647, 2147483629, 2147483587)  # above any number of blocks of a shard, so coprime to it
 
 
@@ -93,20 +95,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     rows = docs.select(*keep, F.col("source").alias("mix_source"), size.alias("mix_size"), mark.alias("mix_mark"))
     targets = source_targets(docs.select(F.col("source").alias("mix_source"), size.alias("mix_size")), weights, share, cap)
     targets = (targets.withColumn("mix_shards", F.greatest(F.lit(1), F.ceil(F.col("mix_words") / shard_words)))
-               .withColumn("seats", F.round(F.sum("mix_target").over(Window.partitionBy()) / block).cast("long")))
-    named = targets.withColumnRenamed("mix_source", "of")
-    rows = rows.join(named.drop("seats"), rows.mix_source.eqNullSafe(named.of)).drop("of", "mix_source")
+               .withColumn("mix_block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("mix_words") / FEW))).cast("long"))
+               .withColumn("seats", F.round(F.sum("mix_target").over(Window.partitionBy())).cast("long")))
+    named = targets.withColumnRenamed("mix_source", "mix_of")
+    rows = rows.join(named.drop("seats"), rows.mix_source.eqNullSafe(named.mix_of)).drop("mix_of", "mix_source")
     rows = rows.withColumn("mix_shard", F.pmod("mix_mark", "mix_shards"))
 
-    cell = rows.groupBy("mix_no", "mix_shard").agg(F.sum("mix_size").alias("words"), F.first("mix_shards").alias("mix_shards"))
+    cell = rows.groupBy("mix_no", "mix_shard").agg(F.sum("mix_size").alias("words"), F.first("mix_shards").alias("mix_shards"), F.first("mix_block").alias("mix_block"))
     cell = cell.withColumn("region", F.floor(F.col("mix_shard") / F.ceil(F.sqrt("mix_shards"))))
-    top = apportion(targets.select("mix_no", "mix_target", "seats"), [], "mix_target", "seats", ["mix_no"])
+    top = apportion(targets.select("mix_no", "mix_target", "seats", "mix_block"), [], "mix_target", "seats", ["mix_no"])
+    top = top.withColumn("mix_quota", F.round(F.col("mix_quota") / F.col("mix_block")).cast("long"))
     mid = cell.groupBy("mix_no", "region").agg(F.sum("words").alias("words")).join(
         top.select("mix_no", F.col("mix_quota").alias("seats")), "mix_no")
     mid = apportion(mid, ["mix_no"], "words", "seats", ["region"])
     low = cell.join(mid.select("mix_no", "region", F.col("mix_quota").alias("seats")), ["mix_no", "region"])
-    low = apportion(low.select("mix_no", "region", "mix_shard", "words", "seats"), ["mix_no", "region"], "words", "seats", ["mix_shard"])
-    blocks = F.greatest(F.lit(1), F.round(F.col("words") / block)).cast("long")
+    low = apportion(low.select("mix_no", "region", "mix_shard", "words", "seats", "mix_block"), ["mix_no", "region"], "words", "seats", ["mix_shard"])
+    blocks = F.greatest(F.lit(1), F.round(F.col("words") / F.col("mix_block"))).cast("long")
     pick = F.xxhash64(F.lit(seed), F.col("mix_no"), F.col("mix_shard"))
     low = low.select("mix_no", "mix_shard", F.col("words").alias("mix_cell"), blocks.alias("mix_blocks"),
                      F.least("mix_quota", F.floor(blocks * cap)).alias("mix_quota"),
@@ -127,8 +131,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
 def taken_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: one row for each whole pass over a document and one with the words of its
     partial pass; ``text`` (and ``n_chars`` where there is one) holds what was taken."""
-    part = F.expr(r"""array_join(flatten(transform(mix_parts, x -> slice(
-        regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), CAST(x.lo + 1 AS INT), CAST(x.hi - x.lo AS INT)))), '')""")
+    # the words are bound by the outer lambda, so a text is split once and not once a part
+    part = F.expr(r"""array_join(flatten(transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0)),
+        w -> flatten(transform(mix_parts, x -> slice(w, CAST(x.lo + 1 AS INT), CAST(x.hi - x.lo AS INT)))))), '')""")
     texts = F.concat(F.array_repeat("text", F.col("mix_passes").cast("int")),
                      F.when(F.size("mix_parts") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     new = {"text": F.col("mix_text"), "n_chars": F.length("mix_text").cast("long")}

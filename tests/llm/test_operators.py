@@ -5,6 +5,7 @@ import inspect
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -112,6 +113,30 @@ def test_mix_emits_the_words_it_takes(docs):
     assert sum(len(words(r.text)) for r in out.collect()) == m.agg(F.sum("mix_taken")).first()[0]
 
 
+def test_small_sources_come_near_their_targets(spark):
+    """Sources of 1 to 100 words beside a large one, with production parameters; an extra column named as an internal one."""
+    sizes = {f"s{k:03d}": k for k in (1, 2, 3, 6, 10, 20, 47, 100)} | {"big": 60_000}
+    rows, i = [], 0
+    for s, n in sizes.items():
+        while n:
+            k = min(n, 700 if s == "big" else 7)
+            rows, n, i = [*rows, (i, " ".join(f"{s}w{j}" for j in range(k)), "en", s, k)], n - k, i + 1
+    mixed = mixing.mix(spark.createDataFrame(rows, DOCS).withColumn("of", F.lit(1)))
+    taken, target = {}, brute_targets(sizes)
+    for r in mixed.collect():
+        assert 0 <= r.mix_taken <= 2 * r.mix_size and r.of == 1 and math.isclose(r.mix_target, target[r.source])
+        taken[r.source] = taken.get(r.source, 0) + r.mix_taken
+    assert all(abs(taken[s] - target[s]) <= 1 + 0.01 * target[s] for s in sizes)
+
+
+def test_a_long_text_is_split_once(spark):
+    docs = spark.createDataFrame([(1, "word " * 1_000_000, "en", "a", 1), (2, "few words", "en", "b", 1)], DOCS)
+    begun = time.time()
+    m = mixing.mix(docs)
+    out = mixing.taken_rows(m, docs.columns).select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
+    assert out == m.agg(F.sum("mix_taken")).first()[0] and time.time() - begun < 60
+
+
 def test_apportion_is_highest_quotients(spark):
     rng = random.Random(5)
     rows = [(g, k, rng.randint(1, 1000), seats) for g, seats in (("a", 7), ("b", 200), ("c", 1)) for k in range(9)]
