@@ -12,17 +12,18 @@ from .common import crc_fold
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, most: int) -> DataFrame:
     """(text, y) of at most ``most`` labelled rows outside the held-out fold, picked by a hash of the
-    id. Only their ids are ranked; they are broadcast (``most`` bounds them) to fetch the texts."""
+    id. A document with labels of both kinds counts as 1. Only their ids are ranked; they are broadcast (``most`` bounds them) to fetch the texts."""
     if most > 1_000_000:
         raise ValueError("a sample of more than a million rows is not broadcast")
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold("doc_id", mod) != held))
-    known = known.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).dropDuplicates(["id"])
+    known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     few = known.orderBy(F.xxhash64(F.lit(2), F.col("id")), "id").limit(most)
     return docs.select("doc_id", "text").join(F.broadcast(few), docs.doc_id == few.id).select("id", "text", "y")
 
 
 def fetch(df: DataFrame) -> pa.Table:
-    return df.orderBy(F.xxhash64(F.lit(2), F.col("id")), "id").toArrow()
+    """The sample in an order of its own: rows of one id by text, so row order decides nothing."""
+    return df.orderBy(F.xxhash64(F.lit(2), F.col("id")), "id", "text").toArrow()
 
 
 def log_loss_temperature(logit: np.ndarray, y: np.ndarray) -> float:

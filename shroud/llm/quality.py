@@ -12,6 +12,7 @@ rows outside the held-out fold; a tenth of them sets the temperature of its prob
 Defined cases: null and empty texts pool to zeros and are scored like any text. Without labels of
 both classes the score is the smoothed share of label 1. A null id belongs to fold crc32('') mod 3.
 Repeated rows score alike; other columns are ignored; an empty table gives an empty result.
+A document with labels of both kinds counts as label 1; the order of rows and labels decides nothing.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ Fitted on at most ``most_rows`` labelled rows outside the held-out fold; every t
 Defined cases: a null or empty text has no terms and scores the prior. Without labels of both
 classes the score is the smoothed share of label 1. A null id belongs to fold crc32('') mod 5.
 Repeated rows score alike; other columns are ignored; an empty table gives an empty result.
+A document with labels of both kinds counts as label 1; the order of rows and labels decides nothing.
 """
 
 from __future__ import annotations

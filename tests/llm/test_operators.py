@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shroud.llm import arrays as A
-from shroud.llm import decontaminate, mixing, neardup, pii, quality, repair, rules, sharding, toxicity, url_filter
+from shroud.llm import decontaminate, learn, mixing, neardup, pii, quality, repair, rules, sharding, toxicity, url_filter
 from shroud.llm.common import Scratch
 from shroud.llm.graph import components, joined
 
@@ -342,6 +342,19 @@ def test_offsets_beyond_a_million_matches(spark):
     assert r.spans == f"card:{len(text) - 16}:{len(text)}" and r.n_card == 1
 
 
+def test_label_ties_do_not_follow_row_order(spark):
+    rows = [(i, f"text {i} {'bad' if i % 3 else 'good'} words here", "en", "s", 1) for i in range(60)] + [(5, "another text of the same id", "en", "s", 1)]
+    marks = [(i, i % 2, i % 3 // 2) for i in range(60)] + [(7, 0, 0), (7, 1, 1), (9, 0, 1)]
+    want = None
+    for seed in range(3):
+        rng = random.Random(seed)
+        docs = spark.createDataFrame(rng.sample(rows, len(rows)), DOCS).repartition(3)
+        labels = spark.createDataFrame(rng.sample(marks, len(marks)), "doc_id long, quality int, toxic int").repartition(2)
+        got = [learn.fetch(learn.labelled(docs, labels, c, 5, 0, 50)).to_pylist() for c in ("quality", "toxic")]
+        want = want or got
+        assert got == want
+
+
 # ---- 7 rules --------------------------------------------------------------------------------
 def test_rule_statistics(spark):
     texts = [None, "", " \n ", "a b c d e f a b c d e g", "x y z\nx y z\n\n\nx y z", "a " * 12, "# $ ok &| <b>\n%", "é\u00a0b c", " ".join(f"w{i % 7}" for i in range(40))]
