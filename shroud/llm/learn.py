@@ -22,8 +22,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int
 
 
 def fetch(df: DataFrame) -> pa.Table:
-    """The sample in an order of its own: rows of one id by text, so row order decides nothing."""
-    return df.orderBy(F.xxhash64(F.lit(2), F.col("id")), "id", "text").toArrow()
+    """The sample in an order of its own: rows of one id by what they hold, so row order decides nothing."""
+    return df.orderBy(F.xxhash64(F.lit(2), F.col("id")), "id", *[c for c in df.columns if c != "id"]).toArrow()
 
 
 def log_loss_temperature(logit: np.ndarray, y: np.ndarray) -> float:
