@@ -342,6 +342,44 @@ def test_offsets_beyond_a_million_matches(spark):
     assert r.spans == f"card:{len(text) - 16}:{len(text)}" and r.n_card == 1
 
 
+def test_contexts_alone_discover_other_shapes_and_several_words(spark):
+    rows = [(i, f"please mail bob{i}@ex{i}.com soon or never") for i in range(40)] + [(100, "please mail (user#77), soon or never")]
+    rows += [(200 + i, f"kindly call +1 (017) 555-{1000 + i} today at noon") for i in range(40)]
+    rows += [(300, "kindly call 555 010 1000 today at noon"), (301, "kindly call 1 2 3 4 5 today at noon"), (302, "room 555 010 1000 please")]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100].spans == "email:13:20" and got[300].spans == "phone:12:24"   # a run in place of its three words
+    assert {i for i, r in got.items() if r.n_found} == {100, 300, 302}            # 302: an instance known by now
+    assert got[302].spans == "phone:5:17"
+
+
+def test_a_context_that_others_share_discovers_nothing(spark):
+    rows = [(i, f"please mail bob{i}@ex{i}.com soon or never") for i in range(40)]
+    rows += [(100 + i, f"please mail {i} soon or never") for i in range(10)]     # 40 of 51: below accept
+    assert all(r.n_found == 0 for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def test_a_refused_number_known_elsewhere_and_too_few_seeds(spark):
+    card = "4111111111111111"
+    pair = [(1, f"pay {card} now"), (2, f"pay 9999999999999999 {card}, now")]
+    more = [(10 + i, f"card {c}") for i, c in enumerate(("4222222222222220", "5555555555554444", "378282246310005", "6011111111111117"))]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(pair + more, "doc_id long, text string")).collect()}
+    assert got[1].n_card == 1 and got[2].n_card == 0 and got[2].spans == "card:21:37" and got[2].n_found == 1
+    assert all(r.n_found == 0 for r in pii.find_personal_data(spark.createDataFrame(pair, "doc_id long, text string")).collect())
+
+
+def test_secrets_are_reported_apart(spark):
+    rows = [(i, f'set token = "{i:02d}{"abcdef01" * 5}" here') for i in range(20)] + [(50, 'set token = "s3cr3t!x" here'), (51, "0" * 40 + " " + "ab" * 20)]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].secrets == "secret:13:55" and got[50].secrets == "secret:13:21" and got[51].n_secret == 0
+    assert all(r.spans == "" and r.n_found == 0 for r in got.values())
+
+
+def test_very_long_runs_and_words_beside_an_instance(spark):
+    rows = [(1, "x" * 300_000 + " 10.0.0.1 " + "y" * 300_000), (2, "7 " * 200_000), (3, "(" * 200_000 + "7" + "." * 200_000)]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].spans == "ip:300001:300009" and got[2].spans == "" == got[3].spans
+
+
 def test_label_ties_do_not_follow_row_order(spark):
     rows = [(i, f"text {i} {'bad' if i % 3 else 'good'} words here", "en", "s", 1) for i in range(60)] + [(5, "another text of the same id", "en", "s", 1)]
     marks = [(i, i % 2, i % 3 // 2) for i in range(60)] + [(7, 0, 0), (7, 1, 1), (9, 0, 1)]
