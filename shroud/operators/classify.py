@@ -10,7 +10,7 @@ higher-order function, the name dictionary is an array lookup.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -118,6 +118,25 @@ def hit_expr(c: Classifier, col: Column, words: Sequence[str] = GIVEN_NAMES) ->
     raise ValueError(c.kind)
 
 
+def string_paths(dt: T.DataType, path: str) -> list[tuple[str, Callable[[Column, Callable[[Column], Column]], Column]]]:
+    """The string values inside a column as (path, test): ``test(column, predicate)`` holds if
+    some value at the path satisfies the predicate. Fields read ``a.b``, array elements ``a[]``,
+    map keys and values ``a{key}`` and ``a{value}``."""
+    if isinstance(dt, T.StringType):
+        return [(path, lambda c, pred: pred(c))]
+    if isinstance(dt, T.StructType):
+        return [(p, lambda c, pred, name=f.name, inner=inner: inner(c.getField(name), pred))
+                for f in dt.fields for p, inner in string_paths(f.dataType, f"{path}.{f.name}")]
+    if isinstance(dt, T.ArrayType):
+        return [(p, lambda c, pred, inner=inner: F.exists(c, lambda x: inner(x, pred)))
+                for p, inner in string_paths(dt.elementType, f"{path}[]")]
+    if isinstance(dt, T.MapType):
+        return [(p, lambda c, pred, part=part, inner=inner: F.exists(part(c), lambda x: inner(x, pred)))
+                for part, inside, label in ((F.map_keys, dt.keyType, "key"), (F.map_values, dt.valueType, "value"))
+                for p, inner in string_paths(inside, f"{path}{{{label}}}")]
+    return []
+
+
 FINDINGS_SCHEMA = "table_id string, column_name string, classifier string, tag_key string, tag_value string, " \
                   "n_nonnull bigint, n_hits bigint, share double"
 
@@ -126,10 +145,17 @@ def classify(df: DataFrame, table_id: str, classifiers: Sequence[Classifier],
              columns: Sequence[str] | None = None, words: Sequence[str] = GIVEN_NAMES) -> DataFrame:
     """Findings (table_id, column_name, classifier, tag_key, tag_value, n_nonnull,
     n_hits, share) for every string column x content classifier, plus column-name
-    classifiers, which read the schema only.
+    classifiers, which read the schema only. Strings inside structs, arrays and maps are
+    columns named by their path (``string_paths``); there a row counts as non-null if it holds
+    some value at the path, and as a hit if some value at the path hits.
     Every row and every whole text is tested."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    cols = list(columns) if columns is not None else strings
+    wanted = set(columns) if columns is not None else set(df.columns)
+    inside = [(path, f.name, test) for f in df.schema.fields if f.name in wanted and not isinstance(f.dataType, T.StringType)
+              for path, test in string_paths(f.dataType, f.name)]
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    cols = [c for c in columns if c in plain] if columns is not None else plain
+    if columns is not None and (lost := wanted - set(df.columns)):
+        raise ValueError(f"no such column: {', '.join(sorted(lost))}")
     content = [c for c in classifiers if c.kind != COLUMN_NAME]
     by_name = [(col, c) for c in classifiers if c.kind == COLUMN_NAME for col in df.columns
                if re.search(c.pattern, col)]
@@ -148,6 +174,14 @@ def classify(df: DataFrame, table_id: str, classifiers: Sequence[Classifier],
             name = f"h_{i}_{j}"
             aggs.append(F.count_if(F.coalesce(hit_expr(c, F.col(col), words), F.lit(False))).alias(name))
             structs.append(finding(col, c, F.col(name)))
+    for i, (path, col, test) in enumerate(inside):
+        nn[path] = f"pn_{i}"
+        aggs.append(F.count_if(F.coalesce(test(F.col(col), F.isnotnull), F.lit(False))).alias(nn[path]))
+        for j, c in enumerate(content):
+            name = f"p_{i}_{j}"
+            hit = test(F.col(col), lambda v, c=c: F.coalesce(hit_expr(c, v, words), F.lit(False)))
+            aggs.append(F.count_if(F.coalesce(hit, F.lit(False))).alias(name))
+            structs.append(finding(path, c, F.col(name)))
     # a column-name classifier reads the schema only: every non-NULL value counts
     structs += [finding(col, c, F.col(nn[col])) for col, c in by_name]
     if not structs:

@@ -17,14 +17,21 @@ from . import estate as es
 from .common import ENTS_SQL, entitlements, memberships, values_sql, with_ctes
 from .governance import _EMAIL_MASK, gov, page_contacts
 
-# string columns of the driver tables classified as one schema
+# every driver table, with its string columns, classified as one schema
 SCHEMA_TABLES = {
+    "region": ("r_name",),
+    "nation": ("n_name",),
     "customer": ("c_name", "c_mktsegment"),
     "supplier": ("s_name",),
+    "part": ("p_name", "p_brand", "p_type"),
     "orders": ("o_orderstatus", "o_orderpriority"),
+    "lineitem": ("l_returnflag", "l_linestatus"),
     "events": ("event_type", "props"),
     "documents": ("text", "lang", "source"),
+    "embeddings": (),
     "pages": ("url", "html"),
+    "benchmark": ("text",),
+    "labels": (),
     "conversations": ("role", "text"),
 }
 
@@ -63,6 +70,18 @@ def q_classify_dictionary(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def nested_documents(spark, sf):
+    """Documents as a table with nested columns: lines and source in a struct, the text by language."""
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", F.struct("source", F.split("text", "\n").alias("lines")).alias("body"),
+                    F.create_map(F.coalesce("lang", F.lit("und")), "text").alias("by_lang"))
+
+
+def q_classify_nested(spark, sf):
+    """C1 on strings inside structs, arrays and maps."""
+    return C.classify(nested_documents(spark, sf), "main.tpch.nested_documents", C.BUILTIN)
+
+
 def q_classify_custom(spark, sf):
     d = C.classify(read_table(spark, sf, "documents"), "main.tpch.documents", CUSTOM, ["text"])
     c = C.classify(read_table(spark, sf, "customer"), "main.tpch.customer", CUSTOM)
@@ -158,6 +177,20 @@ def _findings_sql(pairs) -> str:
 
 
 SQL_CLASSIFY_DOCUMENTS = _findings_sql([("documents", "main.tpch.documents", "text", c) for c in C.BUILTIN])
+def _nested_sql(path: str, values: str, c: C.Classifier) -> str:
+    """One finding of a path; ``values`` is the list of a row's values at it."""
+    held = f"len(list_filter({values}, lambda v: v IS NOT NULL)) > 0"
+    hit = f"len(list_filter({values}, lambda v: coalesce({_hit_sql(c, 'v')}, false))) > 0"
+    return (f"SELECT 'main.tpch.nested_documents' AS table_id, '{path}' AS column_name, '{c.name}' AS classifier, "
+            f"'{c.tag_key}' AS tag_key, '{c.tag_value}' AS tag_value, CAST(count_if(coalesce({held}, false)) AS BIGINT) AS n_nonnull, "
+            f"CAST(count_if(coalesce({hit}, false)) AS BIGINT) AS n_hits FROM documents")
+
+
+SQL_CLASSIFY_NESTED = (
+    "SELECT *, CASE WHEN n_nonnull > 0 THEN round(n_hits / n_nonnull, 6) ELSE 0.0 END AS share FROM (\n  "
+    + "\n  UNION ALL ".join(_nested_sql(path, values, c) for path, values in (
+        ("body.source", "[source]"), ("body.lines[]", "string_split(text, chr(10))"),
+        ("by_lang{key}", "[coalesce(lang, 'und')]"), ("by_lang{value}", "[text]")) for c in C.BUILTIN) + ") AS f")
 SQL_CLASSIFY_PAGES = _findings_sql([("pages", "main.tpch.pages", col, c) for col in ("url", "html") for c in C.BUILTIN])
 SQL_CLASSIFY_CARDS = """
 SELECT doc_id, len(runs) AS n_runs, len(list_filter(runs, lambda r: """ + _luhn_sql("r") + """)) AS n_valid
@@ -202,6 +235,7 @@ QUERIES = {
     "classify_pages": q_classify_pages,
     "classify_cards": q_classify_cards,
     "classify_dictionary": q_classify_dictionary,
+    "classify_nested": q_classify_nested,
     "classify_custom": q_classify_custom,
     "classify_schema": q_classify_schema,
     "tag_proposals": q_tag_proposals,
@@ -216,6 +250,7 @@ ORACLES = {
     "classify_pages": SQL_CLASSIFY_PAGES,
     "classify_cards": SQL_CLASSIFY_CARDS,
     "classify_dictionary": SQL_CLASSIFY_DICTIONARY,
+    "classify_nested": SQL_CLASSIFY_NESTED,
     "classify_custom": SQL_CLASSIFY_CUSTOM,
     "classify_schema": SQL_CLASSIFY_SCHEMA,
     "tag_proposals": SQL_TAG_PROPOSALS,

@@ -55,3 +55,14 @@ def test_propose_and_accept(spark):
                                  ("s.t", "t", "class", "phone_number", "ADJUST", "person_name")], md.DECISIONS)
     tags = {(r.key, r.value) for r in C.accept(props, dec).collect()}
     assert tags == {("class", "email_address"), ("class", "person_name")}   # credit_card is pending
+
+
+def test_strings_inside_structs_arrays_and_maps_are_found(spark):
+    rows = [(1, (["none", "a@b.com"], [{"k@k.de": "x"}]), None), (2, ([None], []), {"n": ("+1 (017) 555-7713",)}), (3, None, {"n": None})]
+    df = spark.createDataFrame(rows, "id int, body struct<lines: array<string>, maps: array<map<string, string>>>, m map<string, struct<p: string>>")
+    got = {(r.column_name, r.classifier): (r.n_nonnull, r.n_hits) for r in C.classify(df, "t", C.BUILTIN).collect()}
+    assert got[("body.lines[]", "email")] == (1, 1) and got[("body.maps[]{key}", "email")] == (1, 1)
+    assert got[("body.maps[]{value}", "email")] == (1, 0) and got[("m{value}.p", "phone")] == (1, 1)
+    assert got[("m{key}", "email")] == (2, 0) and len(got) == 5 * len(C.BUILTIN)
+    only = C.classify(df, "t", C.BUILTIN, ["m"])
+    assert {r.column_name for r in only.collect()} == {"m{key}", "m{value}.p"}
