@@ -221,17 +221,27 @@ def propose_tags(findings: DataFrame, classifiers: Sequence[Classifier], current
             .select("table_id", "column_name", "tag_key", "tag_value", "classifier", "n_hits", "share"))
 
 
-def accept(proposals: DataFrame, decisions: DataFrame, seq_base: int = 0, log: DataFrame | None = None) -> DataFrame:
+def accept(proposals: DataFrame, decisions: DataFrame, seq_base: int = 0, log: DataFrame | None = None,
+           vocab: DataFrame | None = None) -> DataFrame:
     """Review. Decisions are keyed by the proposal (table, column, key, proposed
     value): ACCEPT keeps it, ADJUST replaces the value, REJECT drops it; a proposal without
     a decision, or with any other one, stays pending (not applied). With ``log``, the tag log
     that the rows are for, they come after its last row, so an accepted tag takes effect.
+    With ``vocab``, a value that a governed key does not allow raises when the rows are read,
+    as setting such a tag by hand does; keys outside the vocabulary take any value.
     Returns tag rows to append: (seq, table_id, column_name, key, value)."""
     d = decisions.select("table_id", "column_name", "tag_key", "tag_value", "decision", "adjusted")
     j = (proposals.join(d, ["table_id", "column_name", "tag_key", "tag_value"], "inner")
          .where((F.col("decision") == "ACCEPT") | ((F.col("decision") == "ADJUST") & F.col("adjusted").isNotNull())))
     if log is not None:
         seq_base = (log.agg(F.max("seq")).first()[0] or 0) + 1
-    value = F.when(F.col("decision") == "ADJUST", F.col("adjusted")).otherwise(F.col("tag_value"))
-    return j.select(F.lit(seq_base).cast("bigint").alias("seq"), "table_id", "column_name",
-                    F.col("tag_key").alias("key"), value.alias("value"))
+    out = j.select(F.lit(seq_base).cast("bigint").alias("seq"), "table_id", "column_name", F.col("tag_key").alias("key"),
+                   F.when(F.col("decision") == "ADJUST", F.col("adjusted")).otherwise(F.col("tag_value")).alias("value"))
+    if vocab is None:
+        return out
+    governed = vocab.select("key").distinct().withColumn("governed", F.lit(True))
+    allowed = vocab.select("key", F.col("allowed_value").alias("value")).distinct().withColumn("allowed", F.lit(True))
+    bad = F.raise_error(F.concat(F.lit("value `"), F.col("value"), F.lit("` not allowed for `"), F.col("key"), F.lit("`"))).cast("string")
+    return (out.join(governed, "key", "left").join(allowed, ["key", "value"], "left")
+            .select("seq", "table_id", "column_name", "key",
+                    F.when(F.col("governed").isNotNull() & F.col("allowed").isNull(), bad).otherwise(F.col("value")).alias("value")))

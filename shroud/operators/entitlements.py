@@ -50,13 +50,6 @@ def scope_bucket(scope: Column) -> Column:
     return F.pmod(F.xxhash64(scope.cast("string")), F.lit(SCOPE_BUCKETS))
 
 
-def scope_count(entitlements: DataFrame, principal: str) -> int:
-    """How many distinct scopes one reader holds; decides whether the scope set may travel
-    as a subquery literal (bounded) or must stay a join."""
-    return (entitlements.where(F.col("principal") == F.lit(principal))
-            .agg(F.count_distinct("scope")).first()[0])
-
-
 def scope_rows(entitlements: DataFrame) -> DataFrame:
     """E2 for every principal, in long form: (principal, scope, can_view_raw) with one row
     per distinct scope and the principal's raw flag. No scope set is gathered: a principal
@@ -101,18 +94,28 @@ def current_entitlements(log: DataFrame) -> DataFrame:
     )
 
 
+FRONTIER = 1000
+
+
 def principal_groups(memberships: DataFrame, principal: str) -> list[str]:
     """E6 support: every group the principal belongs to, directly or through nested
     groups, plus the everyone-group. Cycle-safe: a group is followed once, and the walk ends
     when a step finds no new group, however long a chain of groups is.
 
     Memberships are resolved when the protected DataFrame is built (a snapshot), like a
-    platform that caches group membership; entitlements stay live subqueries.
+    platform that caches group membership; entitlements stay live subqueries. A step from more
+    than FRONTIER groups is a semi join on Spark, not a literal list; what comes to the driver is
+    the reader's own set of group names.
     """
     seen: set[str] = set()
     frontier = [principal]
     while frontier:
-        step = memberships.where(F.col("member").isin(frontier)).select("group_name").distinct().collect()
+        if len(frontier) <= FRONTIER:
+            held = memberships.where(F.col("member").isin(frontier))
+        else:
+            names = memberships.sparkSession.createDataFrame([(f,) for f in frontier], "member string")
+            held = memberships.join(names, "member", "left_semi")
+        step = held.select("group_name").distinct().collect()
         frontier = sorted({r[0] for r in step if r[0] is not None} - seen)
         seen |= set(frontier)
     seen.add(EVERYONE)

@@ -102,7 +102,7 @@ def q_tag_proposals(spark, sf):
 
 def q_tag_accept(spark, sf):
     props = q_tag_proposals(spark, sf)
-    return C.accept(props, literal(spark, DECISION_ROWS, md.DECISIONS), seq_base=1000)
+    return C.accept(props, literal(spark, DECISION_ROWS, md.DECISIONS), log=es.column_tags(spark, sf), vocab=es.vocab(spark))
 
 
 def q_stream_classify(spark, sf):
@@ -141,7 +141,7 @@ def q_classify_then_protect(spark, sf):
     props = C.propose_tags(findings, C.BUILTIN, TG.current_column_tags(g.column_tags))
     decisions = props.select("table_id", "column_name", "tag_key", "tag_value", F.lit("ACCEPT").alias("decision"),
                              F.lit(None).cast("string").alias("adjusted"))
-    tagged = g.with_tags(C.accept(props, decisions, seq_base=2000))
+    tagged = g.with_tags(C.accept(props, decisions, log=g.column_tags, vocab=g.vocab))
     return tagged.protect_table(new_id, contacts, Reader("eve", entitlements(spark, sf), memberships(spark, sf)))
 
 
@@ -213,7 +213,7 @@ _PROPOSALS = f"""SELECT f.table_id, f.column_name, f.tag_key, f.tag_value, f.cla
 SQL_TAG_PROPOSALS = es.sql_with({"proposals": _PROPOSALS}, "SELECT * FROM proposals")
 SQL_TAG_ACCEPT = es.sql_with({"proposals": _PROPOSALS,
                               "decisions": values_sql(DECISION_ROWS, DECISION_COLS, ["VARCHAR"] * 6)}, """
-SELECT CAST(1000 AS BIGINT) AS seq, p.table_id, p.column_name, p.tag_key AS key,
+SELECT (SELECT CAST(max(seq) + 1 AS BIGINT) FROM column_tags) AS seq, p.table_id, p.column_name, p.tag_key AS key,
        CASE WHEN d.decision = 'ADJUST' THEN d.adjusted ELSE p.tag_value END AS value
 FROM proposals p JOIN decisions d ON d.table_id = p.table_id AND d.column_name = p.column_name
   AND d.tag_key = p.tag_key AND d.tag_value = p.tag_value

@@ -66,3 +66,16 @@ def test_strings_inside_structs_arrays_and_maps_are_found(spark):
     assert got[("m{key}", "email")] == (2, 0) and len(got) == 5 * len(C.BUILTIN)
     only = C.classify(df, "t", C.BUILTIN, ["m"])
     assert {r.column_name for r in only.collect()} == {"m{key}", "m{value}.p"}
+
+
+def test_review_follows_the_log_and_the_vocabulary(spark):
+    import pytest
+    props = spark.createDataFrame([("t", "a", "class", "email_address", "email", 3, 0.5), ("t", "b", "class", "us_ssn", "us_ssn", 3, 0.5)],
+                                  "table_id string, column_name string, tag_key string, tag_value string, classifier string, n_hits long, share double")
+    log = spark.createDataFrame([(41, "t", "a", "class", "phone_number")], "seq long, table_id string, column_name string, key string, value string")
+    vocab = spark.createDataFrame([("class", "email_address"), ("class", "us_ssn"), ("class", "phone_number")], "key string, allowed_value string")
+    decide = lambda v: spark.createDataFrame([("t", "a", "class", "email_address", "ACCEPT", None), ("t", "b", "class", "us_ssn", "ADJUST", v)], md.DECISIONS)
+    rows = C.accept(props, decide("phone_number"), log=log, vocab=vocab).collect()
+    assert {(r.seq, r.column_name, r.value) for r in rows} == {(42, "a", "email_address"), (42, "b", "phone_number")}
+    with pytest.raises(Exception, match="not allowed for `class`"):
+        C.accept(props, decide("invented"), log=log, vocab=vocab).collect()
