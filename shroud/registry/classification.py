@@ -12,7 +12,7 @@ from ..plans.protect import Control, Reader, protect
 from ..session import shared_dir
 from ..sources import metadata as md
 from ..sources.tables import literal, read_table
-from ..streaming.protect_stream import file_stream, run_aggregate, run_per_batch
+from ..streaming.protect_stream import run_aggregate, run_per_batch, table_stream
 from . import estate as es
 from .common import ENTS_SQL, entitlements, memberships, values_sql, with_ctes
 from .governance import _EMAIL_MASK, gov, page_contacts
@@ -109,7 +109,7 @@ def q_stream_classify(spark, sf):
     """Classification as a streaming aggregate over the document files; its final
     state equals the batch answer."""
     schema = read_table(spark, sf, "documents").schema
-    stream = file_stream(spark, sf, "documents.parquet", schema)
+    stream = table_stream(spark, sf, "documents", schema)
     run = uuid.uuid4().hex
     agg = C.classify(stream, "main.tpch.documents", C.BUILTIN, ["text"])
     return run_aggregate(agg, shared_dir(spark, f"streams/classify_{run}/out"),
@@ -120,7 +120,7 @@ def q_stream_protect(spark, sf):
     """The events stream, filtered to the reader's event types and with value masked,
     protect resolved per micro-batch."""
     schema = read_table(spark, sf, "events").schema
-    stream = file_stream(spark, sf, "events.parquet", schema)
+    stream = table_stream(spark, sf, "events", schema)
     ents = entitlements(spark, sf)
     ctl = [Control(md.FILTER, "scope_filter", ("event_type",)), Control(md.MASK, "null_mask", ("value",))]
     run = uuid.uuid4().hex

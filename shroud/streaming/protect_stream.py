@@ -23,6 +23,15 @@ def file_stream(spark: SparkSession, folder: str, file_glob: str, schema, max_fi
     return r.parquet(folder)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema, max_files: int | None = None) -> DataFrame:
+    """The stream of a driver table, which may be one file or a folder of files. The braces make the
+    path a pattern, as the source takes no single file by its plain path."""
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(f"{sf_dir.rstrip('/')}/{{{name}}}.parquet")
+
+
 def run_per_batch(stream: DataFrame, build: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str) -> DataFrame:
     """Run ``build`` on every micro-batch until the source is drained (availableNow) and
     return the written result as a batch DataFrame."""

@@ -1,7 +1,10 @@
 """Stream = batch: the same operators over a table split into files."""
 
+import pytest
+
 from shroud.operators import classify as C
 from shroud.plans.protect import Control, Reader, protect
+from shroud.registry.classification import q_stream_classify, q_stream_protect
 from shroud.sources import metadata as md
 from shroud.streaming.protect_stream import file_stream, run_aggregate, run_per_batch
 
@@ -47,3 +50,22 @@ def test_protect_directly_on_a_stream(spark, scratch):
     got = spark.read.parquet(f"{scratch}/direct")
     want = protect(events, ctl, Reader("ops", ents))
     assert sorted(map(tuple, got.select(*events.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_streamed_tables_are_a_file_or_a_folder(spark, scratch, files):
+    """0: documents.parquet and events.parquet are files; 3: folders of three files, as Spark writes them."""
+    tables = {"documents": spark.createDataFrame([(i, t, "en", "web", 9) for i, t in enumerate(["a@b.org", "x", None, "ip 10.0.0.1"])],
+                                                 "doc_id long, text string, lang string, source string, n_chars long"),
+              "events": spark.createDataFrame([(i, None, i, "click" if i % 2 else "view", 1.5, "{}") for i in range(8)],
+                                              "event_id long, ts timestamp, user_id long, event_type string, value double, props string"),
+              "customer": spark.createDataFrame([("c", "s", 1.0)], "c_name string, c_mktsegment string, c_acctbal double")}
+    for name, df in tables.items():
+        if files:
+            df.repartition(files).write.parquet(f"{scratch}/{name}.parquet")
+        else:
+            df.toPandas().to_parquet(f"{scratch}/{name}.parquet", coerce_timestamps="us")
+    got = q_stream_classify(spark, scratch)
+    want = C.classify(tables["documents"], "main.tpch.documents", C.BUILTIN, ["text"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("n_hits > 0").count() == 2
+    assert sorted(r.event_id for r in q_stream_protect(spark, scratch).collect()) == [1, 3, 5, 7]
