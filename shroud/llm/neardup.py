@@ -37,6 +37,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ from .common import Scratch
 from .graph import joined
 
 CHUNK = 1 << 19  # shingles hashed at a time
+TEXT_BYTES = 1 << 21  # of texts split into words at a time
 BAND_BITS = (1 << 31) - 1  # of a bucket's key that tell which bands two members share
 
 
@@ -73,6 +75,14 @@ def _digest(s: np.ndarray) -> bytes:
     return b"".join(int(A.splitmix(s, k).sum(dtype=np.uint64)).to_bytes(8, "big") for k in (11, 12))
 
 
+def _slices(batch: pa.RecordBatch, most: int):
+    """The rows of a batch in slices of about ``most`` bytes of text, or one longer text: the word
+    arrays of a slice are many times its texts."""
+    n = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    for i, j in A.pieces(np.concatenate([[0], np.cumsum(n, dtype=np.int64)]), most):
+        yield batch.slice(i, j - i)
+
+
 def _sketch(size: int, n_rows: int, n_bands: int):
     n_hash = n_rows * n_bands
     rng = np.random.default_rng(8)
@@ -80,7 +90,7 @@ def _sketch(size: int, n_rows: int, n_bands: int):
     add = rng.integers(0, 2**63, n_hash, dtype=np.uint64)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, TEXT_BYTES)):
             rows = A.words(batch.column("text"))
             for i, j in A.pieces(rows[1], CHUNK):
                 w = rows[0][rows[1][i]:rows[1][j]]

@@ -499,6 +499,18 @@ def test_plausible_pairs_below_the_threshold_stay_apart(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_sketch_splits_texts_of_a_batch_in_bounded_slices(monkeypatch):
+    import pyarrow as pa
+    texts = [f"w{i} a b c d e{i % 7}" * (i % 5) if i % 6 else None for i in range(300)] + ["long " * 900]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(301)), "text": texts, "text_key": list(range(301))})
+    whole = pa.Table.from_batches(neardup._sketch(5, 6, 40)([batch]))
+    seen, words = [], neardup.A.words
+    monkeypatch.setattr(neardup, "TEXT_BYTES", 1000, raising=False)
+    monkeypatch.setattr(neardup.A, "words", lambda t: seen.append((len(t), sum(len(x or "") for x in t.to_pylist()))) or words(t))
+    assert pa.Table.from_batches(neardup._sketch(5, 6, 40)([batch])).equals(whole)
+    assert all(n == 1 or size <= 1000 for n, size in seen) and sum(n for n, _ in seen) == 301
+
+
 def test_bayes_thresholds_follow_the_posterior():
     for n, m in neardup.least_matches(240, 40, 0.8, 1e-6):
         tail = lambda k: sum(math.comb(n + 1, i) * 0.8**i * 0.2 ** (n + 1 - i) for i in range(k + 1))
