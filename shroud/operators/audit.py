@@ -55,14 +55,18 @@ def propagate_tags(edges: DataFrame, seed: DataFrame) -> DataFrame:
     joints = written(links.join(feeders.where(F.col("n") > 1).select("dst"), "dst", "left_semi"))
     short = joints.join(heads.select(F.col("id").alias("src"), "up"), "src", "left").select(F.coalesce("up", "src").alias("src"), "dst")
     short = written(short.where(F.col("src") != F.col("dst")).distinct())
-    delta, along = facts, joints
+    # only the ends of these edges take part in the rounds: few beside all columns
+    ends = written(joints.select("dst", "src").unionAll(short.select("dst", "src")).select(F.explode(F.array("src", "dst")).alias("id")).distinct())
+    core = written(facts.join(ends, "id", "left_semi"))
+    delta, along = core, joints
     while True:
         step = delta.join(along, delta.id == along.src).select(F.col("dst").alias("id"), "block", "mask")
-        facts, delta = _merged(facts, step)
+        core, delta = _merged(core, step)
         if delta.isEmpty():
             break
         along = short
-    below = heads.join(facts.withColumnRenamed("id", "up"), "up").select("id", "block", "mask")
+    facts = facts.unionAll(core)  # one bit_or more below puts them together
+    below = heads.join(core.withColumnRenamed("id", "up"), "up").select("id", "block", "mask")  # what heads had before has come down
     facts = facts.unionAll(below).groupBy("id", "block").agg(F.bit_or("mask").alias("mask"))
     return (facts.join(tags, "block").where(F.col("mask").bitwiseAND(F.col("bit")) != 0).join(columns, "id")
             .select("table_id", "column_name", "key", "value"))
@@ -99,6 +103,7 @@ def _follow_chains(pointers: DataFrame, facts: DataFrame) -> tuple[DataFrame, Da
         pointers = written(pointers.join(above, "up", "left").select(
             "id", F.coalesce("upper", "up").alias("up"), F.col("upper").isNotNull().alias("open")))
         still = pointers.where("open").count()
-        if (still == open_before or not still) and delta.isEmpty():
+        # none open: every pointer led to a head, whose tags came in this round; rings stay open
+        if not still or still == open_before and delta.isEmpty():
             return pointers.select("id", "up"), facts
         open_before = still

@@ -57,3 +57,14 @@ def test_deep_chain_and_ring_take_few_rounds(spark, monkeypatch):
 
 def test_nothing_to_push(spark):
     assert propagated(spark, chain("a", 3), []) == set() and propagated(spark, [], [("a", "c", "k", "v")]) == {("a", "c", "k", "v")}
+
+
+def test_rounds_move_only_what_can_change(spark, monkeypatch):
+    """Rounds past the chains hold only ends of edges into joints, and chains take no round more once all have met their heads."""
+    edges = [*chain("a", 8), ("b", "x", "a", "c5"), *chain("q", 30)]
+    seed = [("a", "c0", "pii", "ssn"), ("b", "x", "pii", "mail"), *[("q", f"c{i}", "pii", "phone") for i in range(30)]]
+    sizes = []
+    merged = audit._merged
+    monkeypatch.setattr(audit, "_merged", lambda facts, more: sizes.append(facts.count()) or merged(facts, more))
+    assert propagated(spark, edges, seed) == walk(edges, seed)
+    assert len(sizes) <= 8 and sizes[-1] <= 4
