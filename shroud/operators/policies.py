@@ -3,8 +3,8 @@
 A policy row says: in this scope (schema or catalog), for these principals (TO, minus
 EXCEPT), apply this mask to every column whose tags match, or this row filter to every
 table with a matching column (optionally only tables whose own tags satisfy WHEN).
-Resolution is a chain of joins: current column tags (large) x table paths (one row per
-table) x policies, by scope and tag key.
+Resolution is a chain of joins: table paths (one row per table) x policies, by scope, then
+x current column tags (large), by table and tag key.
 """
 
 from __future__ import annotations
@@ -57,25 +57,26 @@ def policy_targets(policies: DataFrame, current_tags: DataFrame, current_ttags:
                    paths: DataFrame) -> DataFrame:
     """(policy, kind, function, table_id, column_name, columns): a mask for every
     column the policy covers, and one row filter for every table with matching columns, which are its
-    arguments in the order of their names (``columns``; ``column_name`` is the first). Each tag row takes the four places its table stands in (table, schema,
-    catalog, metastore), and policies join on place and tag key at once: a tag meets only
-    policies whose scope holds it, however many schemas have a policy on the same key. WHEN
-    needs the table's current tag."""
+    arguments in the order of their names (``columns``; ``column_name`` is the first). Each table takes
+    the four places it stands in (table, schema, catalog, metastore) and meets the policies of those
+    places; WHEN is settled there, by the table's current tag. Tags join last, on table and tag key: a
+    tag meets only policies whose scope holds its table, and no task gathers the tags of a whole
+    catalog."""
     at = F.explode(F.array(*[F.struct(F.lit(k).alias("scope_kind"), F.col(c).alias("scope_name")) for k, c in (
         ("table", "table_id"), ("schema", "schema_id"), ("catalog", "catalog_id"), ("metastore", "metastore_id"))]))
-    tags = current_tags.join(paths, "table_id").select("table_id", "column_name", "key", "value", at.alias("at")).select(
-        "table_id", "column_name", F.col("key").alias("match_key"), "value", "at.scope_kind", "at.scope_name")
+    places = paths.select("table_id", at.alias("at")).select("table_id", "at.scope_kind", "at.scope_name")
     pol = policies.select(F.col("name").alias("policy"), "scope_kind", "scope_name", "kind", "function",
                           "match_key", "match_value", "when_key", "when_value")
-    m = tags.join(pol, ["scope_kind", "scope_name", "match_key"]).where(
-        F.col("match_value").isNull() | (F.col("value") == F.col("match_value")))
     # WHEN in one pass (no union of two copies of the plan): a table has one current value
     # per key, so the left join never multiplies rows; a policy without WHEN never matches
     # (NULL key) and is kept by the first term
     tt = current_ttags.select("table_id", F.col("key").alias("when_key"), F.col("value").alias("when_value"),
                               F.lit(True).alias("when_ok"))
-    m = m.join(tt, ["table_id", "when_key", "when_value"], "left")
-    m = m.where(F.col("when_key").isNull() | F.col("when_ok"))
+    held = places.join(pol, ["scope_kind", "scope_name"]).join(tt, ["table_id", "when_key", "when_value"], "left")
+    held = held.where(F.col("when_key").isNull() | F.col("when_ok")).drop("when_key", "when_value", "when_ok")
+    tags = current_tags.select("table_id", "column_name", F.col("key").alias("match_key"), "value")
+    m = tags.join(held, ["table_id", "match_key"]).where(
+        F.col("match_value").isNull() | (F.col("value") == F.col("match_value")))
     unit = F.when(F.col("kind") == MASK, F.lower("column_name"))
     m = m.groupBy("policy", "scope_kind", "scope_name", "kind", "function", "table_id", unit.alias("unit")).agg(
         F.array_sort(F.collect_set("column_name")).alias("columns"))

@@ -67,6 +67,16 @@ def test_localize_bound(spark):
     assert local is not df and sorted(r.id for r in local.collect()) == list(range(50))
 
 
+def test_localized_relation_has_a_known_size(spark):
+    """A relation of unknown size counts as too large to broadcast."""
+    rows = [("a", "schema", "s", md.MASK, "redact", ["x", None], None, None, None, "pii", None)]
+    df = spark.createDataFrame(rows, md.POLICIES)
+    local = localize(df)
+    assert local.schema == df.schema and local.collect() == df.collect()
+    assert local._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10_000
+    assert localize(df.where("name = 'b'")).count() == 0
+
+
 def test_long_chains_are_followed_to_the_end(spark):
     from shroud.operators.audit import propagate_tags
     from shroud.operators.entitlements import principal_groups

@@ -223,6 +223,28 @@ def test_filter_policy_takes_all_matched_columns(spark):
     assert got == {("c.s.t", "A", ("A", "b")), ("c.s.u", "z", ("z",))}
 
 
+def test_tags_of_one_catalog_are_dealt_by_table(spark):
+    """A catalog-wide policy: no join may gather all tags of a catalog and key under one join key."""
+    tags = spark.createDataFrame([(f"c.s.t{i}", f"p{j}", "pii", "x") for i in range(6) for j in range(3)] + [("c.s.t0", "p0", None, "x"), (None, "p1", "pii", "x")],
+                                 "table_id string, column_name string, key string, value string")
+    paths = spark.createDataFrame([(f"c.s.t{i}", "c.s", "c", "m") for i in range(6)] + [("c.s.t0", "c.s", "c", "m"), ("d.t", None, None, None)],
+                                  "table_id string, schema_id string, catalog_id string, metastore_id string")
+    ttags = spark.createDataFrame([("c.s.t1", "level", "high"), ("c.s.t2", "level", "low"), ("c.s.t3", "level", None)], "table_id string, key string, value string")
+    pol = spark.createDataFrame([("all", "catalog", "c", "MASK", "redact", [E], [], None, None, "pii", None),
+                                 ("high", "catalog", "c", "FILTER", "scope_filter", [E], [], "level", "high", "pii", "x"),
+                                 ("unset", "catalog", "c", "FILTER", "scope_filter", [E], [], "level", None, "pii", "x")], md.POLICIES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = P.policy_targets(pol, tags, ttags, paths)
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        joins = [line for line in plan.splitlines() if "Join [" in line and "match_key" in line]
+        assert joins and all("table_id" in line for line in joins), joins
+        rows = sorted((r.policy, r.table_id, tuple(r.columns)) for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == [("all", f"c.s.t{i}", (f"p{j}",)) for i in range(6) for j in range(3)] + [("high", "c.s.t1", ("p0", "p1", "p2"))]
+
+
 def test_coverage_gap_compares_names_in_any_case(spark):
     tags = spark.createDataFrame([("t", "mail", "pii", "email"), ("t", "other", "pii", "email")], "table_id string, column_name string, key string, value string")
     controls = spark.createDataFrame([("t", "MAIL", "MASK")], "table_id string, column_name string, kind string")
