@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from shroud.operators import audit
 
@@ -68,3 +69,28 @@ def test_rounds_move_only_what_can_change(spark, monkeypatch):
     monkeypatch.setattr(audit, "_merged", lambda facts, more: sizes.append(facts.count()) or merged(facts, more))
     assert propagated(spark, edges, seed) == walk(edges, seed)
     assert len(sizes) <= 8 and sizes[-1] <= 4
+
+
+def test_columns_with_the_same_hash_stay_apart(spark, monkeypatch):
+    """Ids fall back on numbers joined to names if two columns have the same hash."""
+    rng = random.Random(8)
+    names = [(f"t{i % 5}", f"c{i}") for i in range(30)]
+    edges = [(*rng.choice(names), *rng.choice(names)) for _ in range(35)]
+    seed = [(*rng.choice(names), "pii", f"v{i % 3}") for i in range(9)]
+    monkeypatch.setattr(audit, "_hashed", lambda table, column: F.length(column).cast("long"), raising=False)
+    assert propagated(spark, edges, seed) == walk(edges, seed)
+
+
+def test_chain_rounds_write_only_columns_still_on_their_way(spark, monkeypatch):
+    """Chains of two steps beside one of sixty: a column that has met its head is not written again."""
+    edges = [e for i in range(200) for e in chain(f"s{i}", 2)] + chain("a", 60)
+    seed = [(f"s{i}", "c0", "pii", "ssn") for i in range(200)] + [("a", "c0", "pii", "mail")]
+    sizes, kept = [], audit.written
+
+    def counted(df):
+        out = kept(df)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(audit, "written", counted)
+    assert propagated(spark, edges, seed) == walk(edges, seed)
+    assert sum(n > 300 for n in sizes) <= 5  # edges, columns, nodes, the first round
